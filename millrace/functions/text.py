@@ -108,7 +108,10 @@ def truncate_words(x: Column | str, n: int) -> Column:
     return F.array_join(F.slice(words, 1, n), " ")
 
 
-@F.pandas_udf("string")
-def nfc(s: pd.Series) -> pd.Series:
-    """Unicode NFC.  Opt-in."""
+def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
+
+
+def nfc(x: Column | str) -> Column:
+    """Unicode NFC.  Opt-in."""
+    return F.pandas_udf(_nfc, "string")(_c(x))

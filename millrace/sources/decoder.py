@@ -52,7 +52,6 @@ def dump(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "replace").decode("utf-8")
 
 
-@udtf(returnType="ordinal int, obj string, in_array boolean, error string")
 class ParseObjects:
     """One row for each object of a file; a failure becomes a row with ``error`` set, not a failed job."""
 
@@ -66,7 +65,7 @@ class ParseObjects:
 
 def register(spark: SparkSession) -> None:
     """Make ``parse_objects`` callable from SQL."""
-    spark.udtf.register("parse_objects", ParseObjects)
+    spark.udtf.register("parse_objects", udtf(ParseObjects, returnType="ordinal int, obj string, in_array boolean, error string"))
 
 
 def parse_files(files: DataFrame) -> DataFrame:
