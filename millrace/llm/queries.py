@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import stage
 from ..sources.tables import table
-from . import encode, formatting, packing, skeleton
+from . import encode, formatting, mojibake, packing, skeleton
 from .sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,15 @@ def p9_buckets(spark, d):
 def p9_unused(spark, d):
     """What the containers leave unused."""
     return packing.unused(packing.containers(_items(spark, d)))
+
+
+@query
+def p10_found(spark, d):
+    """Documents with wrongly decoded characters."""
+    return mojibake.found(table(spark, d, "documents"))
+
+
+@query
+def p10_restored(spark, d):
+    """Those documents with their original text where it can be restored."""
+    return mojibake.restored(table(spark, d, "documents"))
