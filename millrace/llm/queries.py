@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import stage
 from ..sources.tables import table
-from . import encode, formatting, mojibake, packing, skeleton
+from . import encode, formatting, langid, mojibake, packing, skeleton
 from .sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,22 @@ def p10_found(spark, d):
 def p10_restored(spark, d):
     """Those documents with their original text where it can be restored."""
     return mojibake.restored(table(spark, d, "documents"))
+
+
+def _samples(spark, d):
+    return langid.load_samples(table(spark, d, "lang_samples"))
+
+
+_LABELLED = {"input": "input_lang", "output": "output_lang"}
+
+
+@query
+def p4_found(spark, d):
+    """Texts of one language with a missing or wrong label, and every run of texts of several languages."""
+    return langid.segments(table(spark, d, "train"), "rec_id", _LABELLED, _samples(spark, d), cases_only=True).select("rec_id", "field_name", "seg_no", "lang")
+
+
+@query
+def p4_segments(spark, d):
+    """The language of every text of four or more words, run by run, with a confidence."""
+    return langid.segments(table(spark, d, "train"), "rec_id", _LABELLED, _samples(spark, d))
