@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import stage
 from ..sources.tables import table
-from . import encode, formatting, langid, mojibake, packing, skeleton
+from . import defects, encode, formatting, langid, mojibake, packing, skeleton
 from .sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,15 @@ def p4_found(spark, d):
 def p4_segments(spark, d):
     """The language of every text of four or more words, run by run, with a confidence."""
     return langid.segments(table(spark, d, "train"), "rec_id", _LABELLED, _samples(spark, d))
+
+
+@query
+def p3_found(spark, d):
+    """Each defective pair with the first of its defects."""
+    return defects.found(table(spark, d, "train"), _samples(spark, d))
+
+
+@query
+def p3_defects(spark, d):
+    """Every defect of each pair."""
+    return defects.defects(table(spark, d, "train"), _samples(spark, d))
