@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import stage
 from ..sources.tables import table
-from . import defects, encode, formatting, langid, mojibake, packing, skeleton
+from . import defects, encode, formatting, langid, mojibake, overlap, packing, skeleton
 from .sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,16 @@ def p3_found(spark, d):
 def p3_defects(spark, d):
     """Every defect of each pair."""
     return defects.defects(table(spark, d, "train"), _samples(spark, d))
+
+
+@query
+def p5_found(spark, d):
+    """Training records and evaluation inputs that are the same or nearly so."""
+    return overlap.overlaps(table(spark, d, "train"), table(spark, d, "test"))
+
+
+@query
+def p5_report(spark, d):
+    """How many of them there are for each split and source."""
+    train, test = table(spark, d, "train"), table(spark, d, "test")
+    return overlap.report(overlap.overlaps(train, test), train, test)
