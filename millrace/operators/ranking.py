@@ -20,7 +20,7 @@ def positions(df: DataFrame, group: list[str], bucket: Column, order: list[Colum
 
     ``bucket`` must not decrease along ``order``, and ``order`` must be total for the result to be
     deterministic.  NULLs in ``group`` form groups of their own.  An empty table gives an empty table.
-    Columns named ``__*`` are reserved.
+    Columns of ``df`` with the names of the new ones are replaced; names that begin with ``__`` are reserved.
     """
     d = df.withColumn("__b", bucket)
     inside = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*group, "__b").orderBy(*order)))
@@ -32,7 +32,8 @@ def positions(df: DataFrame, group: list[str], bucket: Column, order: list[Colum
     for k, g in zip(keys, group):
         on = on & F.col(g).eqNullSafe(F.col(k))
     out = inside.join(offsets, on)
-    return out.select(*df.columns, (F.col("__off") + F.col("__rn")).cast("bigint").alias(rank), F.col("__n").cast("bigint").alias(size))
+    kept = [c for c in df.columns if c not in (rank, size)]
+    return out.select(*kept, (F.col("__off") + F.col("__rn")).cast("bigint").alias(rank), F.col("__n").cast("bigint").alias(size))
 
 
 def hash_bucket(digest: Column) -> Column:

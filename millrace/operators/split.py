@@ -30,7 +30,7 @@ def split_label(k: Column, n: Column) -> Column:
 
 
 def stratified_split(df: DataFrame, strata: list[str], key: str, seed: int = 42) -> DataFrame:
-    """``df`` with ``split``.
+    """``df`` with ``split``, which replaces a column of that name.
 
     Sizes are exact for each stratum, membership depends on (seed, key) alone, not on
     partitioning.  ``key`` must be unique; NULL strata form a stratum.  A stratum may hold any
@@ -38,7 +38,7 @@ def stratified_split(df: DataFrame, strata: list[str], key: str, seed: int = 42)
     """
     d = df.withColumn("__h", shuffle_key(key, seed))
     ranked = positions(d, strata, hash_bucket(F.col("__h")), [F.col("__h"), F.col(key)], "__k", "__n")
-    return ranked.withColumn("split", split_label(F.col("__k"), F.col("__n"))).select(*df.columns, "split")
+    return ranked.withColumn("split", split_label(F.col("__k"), F.col("__n"))).select(*[c for c in df.columns if c != "split"], "split")
 
 
 def seeded_shuffle(df: DataFrame, key: str, group: list[str], seed: int = 42, rank: str = "rank") -> DataFrame:
