@@ -29,6 +29,8 @@ RUN = 4
 #: Cost in nats of changing the language between two words, and after a mark of punctuation.
 SWITCH, SWITCH_AT_MARK = 20.0, 12.0
 UNDETERMINED = "und"
+#: Words that are segmented at once.
+LONG = 50_000
 
 # Spellings of language names and codes, in lower case without region.
 SPELLINGS = {
@@ -266,6 +268,26 @@ class Identifier:
         return out
 
     def segments(self, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
+        """As :meth:`_segments`; texts of more than :data:`LONG` words go through in blocks, whose runs are joined."""
+        plain = [None if t and len(t) > 2 * LONG and len(t.split()) > LONG else t for t in texts]
+        out = self._segments(plain)
+        for n, (t, p) in enumerate(zip(texts, plain)):
+            if t is not p:
+                w = clean(t).split()
+                cuts = list(range(0, max(1, len(w) - LONG // 2), LONG)) + [len(w)]
+                runs: list[list] = []
+                for a, b in zip(cuts, cuts[1:]):
+                    for x, y, lang, conf in self._segments([" ".join(w[a:b])])[0]:
+                        if runs and runs[-1][2] == lang:
+                            size, more = runs[-1][1] - runs[-1][0], y - x
+                            runs[-1][3] = (runs[-1][3] * size + conf * more) / (size + more)
+                            runs[-1][1] = a + y
+                        else:
+                            runs.append([a + x, a + y, lang, conf])
+                out[n] = [tuple(r) for r in runs]
+        return out
+
+    def _segments(self, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
         """For each text its runs ``(first word, last word + 1, language, confidence)``.
 
         Runs of fewer than :data:`RUN` words with letters join a neighbour; a text of one language is one
@@ -396,7 +418,7 @@ def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
     ddl = f"{key} bigint, field_name string, seg_no int, lang string, confidence double" + ("" if cases_only else ", label string")
-    return df.select(F.col(key).cast("bigint").alias(key), *fields, *fields.values()).mapInArrow(run, ddl)
+    return df.select(F.col(key).cast("bigint").alias(key), *dict.fromkeys([*fields, *fields.values()])).mapInArrow(run, ddl)
 
 
 __all__ = ["Identifier", "Models", "label", "load_samples", "identifier", "segments", "SparkSession"]

@@ -72,6 +72,8 @@ def within(a: list[str], b: list[str], d: int) -> bool:
     a, b = a[lo:n], b[lo:m]
     if not a or not b:
         return max(len(a), len(b)) <= d
+    if d > 8:
+        return _distance(a, b) <= d
     far = d + 1
     row = [j if j <= d else far for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
@@ -84,6 +86,24 @@ def within(a: list[str], b: list[str], d: int) -> bool:
     return row[-1] <= d
 
 
+def _distance(a: list[str], b: list[str]) -> int:
+    """Word edit distance by bit vectors (Myers 1999, Hyyrö 2003): one step of big integers a word."""
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, score = full, 0, len(a)
+    for x in b:
+        eq = at.get(x, 0)
+        vertical = eq | down
+        same = (((eq & up) + up) ^ up) | eq
+        plus, minus = down | ~(same | up) & full, up & same
+        score += 1 if plus & last else -1 if minus & last else 0
+        plus, minus = (plus << 1 | 1) & full, minus << 1 & full
+        up, down = minus | ~(vertical | plus) & full, plus & vertical
+    return score
+
+
 class Shingler:
     """Prefixes of texts in a fixed order of all shingles: by the frequency of their words, then by hash."""
 
