@@ -9,16 +9,15 @@ index those of the evaluation texts, rarest first, probe with those of training,
 Five-word shingles would lose matches here: one edit can touch every one of the four shingles of a
 text of eight words.
 
-Before anything is shuffled, training texts pass a bitmap of fixed size with the index's shingles and
-texts; bits that are set by chance cost time, never results.  Equal texts are joined once and expanded
-at the end.
+The order is that of a frequency sketch of fixed size over the index's shingles.  Training texts are
+held against it before anything is shuffled; slots that shingles share by chance cost time, never
+results.  Equal texts are joined once and expanded at the end.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import math
 import re
 
 import numpy as np
@@ -32,11 +31,10 @@ from .skeleton import clean
 
 #: Words per shingle; one word in so many may differ; texts below this length only match exactly.
 SHINGLE, ONE_IN, SHORTEST = 3, 8, 7
-#: Words whose frequency orders the shingles: the most frequent ones (others count as rare). Affects speed only.
-COMMON_WORDS = 65_536
-#: Bits of the bitmap: at most 2**28 (32 MiB), whatever the data.
-LEAST_BITS, MOST_BITS = 22, 28
+#: The sketches of the index have 2**bits bytes: at most 2**26 (64 MiB), whatever the data.
+LEAST_BITS, MOST_BITS = 20, 26
 _PART = 1 << 16
+_SPREAD, _ALL, _POSITIVE = 0x9E3779B97F4A7C15, (1 << 64) - 1, (1 << 63) - 1
 
 _BARE = re.compile(r"[^\w\s̀-ͯ]|_")
 
@@ -105,28 +103,46 @@ def _distance(a: list[str], b: list[str]) -> int:
 
 
 class Shingler:
-    """Prefixes of texts in a fixed order of all shingles: by the frequency of their words, then by hash."""
+    """Prefixes of texts in a fixed order of all shingles: the rarest in the index first, then by hash.
 
-    def __init__(self, frequency: dict[str, int]):
-        self.rank = {w: int(16 * math.log2(c + 1)) for w, c in frequency.items()}
-        self.known: dict[str, tuple[int, int]] = {}
+    ``sketch`` holds, in 2**bits bytes, how often the index has the shingles of each slot: 0 for none, else
+    the logarithm.  Shingles that the index lacks come first and can match nothing, so a text with more
+    of them than its edits can touch is out at once.
+    """
+
+    def __init__(self, sketch: bytes | None, bits: int):
+        self.sketch, self.shift = sketch, 64 - bits
+        self.known: dict[str, int] = {}
 
-    def _word(self, w: str) -> tuple[int, int]:
+    def _word(self, w: str) -> int:
         if len(self.known) > 500_000:
             self.known.clear()
-        r = self.known[w] = (xxhash.xxh64_intdigest(w) >> 3, self.rank.get(w, 0))
+        r = self.known[w] = xxhash.xxh64_intdigest(w) >> 3
         return r
 
-    def prefix(self, ws: list[str]) -> list[tuple[int, int]]:
-        """``(hash, position)`` of the first 3 d + 1 shingles; none for texts that only match exactly."""
-        n = len(ws)
-        if n < SHORTEST:
+    def shingles(self, ws: list[str]) -> list[int]:
+        """The hashes of all shingles; none for texts that only match exactly."""
+        if len(ws) < SHORTEST:
             return []
         known = self.known
-        pairs = [known.get(w) or self._word(w) for w in ws]
-        hs, rs = zip(*pairs)
-        grams = [(rs[i] + rs[i + 1] + rs[i + 2], (hs[i] * 31 + hs[i + 1] * 1_000_003 + hs[i + 2] * 998_244_353) & 0x7FFFFFFFFFFFFFFF, i) for i in range(n - 2)]
-        return [(h, i) for _, h, i in heapq.nsmallest(SHINGLE * most_edits(n) + 1, grams)]
+        hs = [known.get(w) or self._word(w) for w in ws]
+        return [(x * 31 + y * 1_000_003 + z * 998_244_353) & _POSITIVE for x, y, z in zip(hs, hs[1:], hs[2:])]
+
+    def prefix(self, ws: list[str]) -> list[tuple[int, int]]:
+        """``(hash, position)`` of those of the first 3 d + 1 shingles that the index has."""
+        grams = self.shingles(ws)
+        if not grams:
+            return []
+        sketch, shift = self.sketch, self.shift
+        often = [sketch[(h * _SPREAD & _ALL) >> shift] for h in grams]
+        room = SHINGLE * most_edits(len(ws)) + 1 - often.count(0)
+        if room <= 0:
+            return []
+        return [(h, i) for _, h, i in heapq.nsmallest(room, ((c, h, i) for i, (c, h) in enumerate(zip(often, grams)) if c))]
+
+
+def _key_hash(k: bytes) -> int:
+    return int.from_bytes(k[:8], "little") >> 1
 
 
 def key_of(ws: list[str]) -> bytes:
@@ -151,11 +167,22 @@ def _texts(df: DataFrame, key: str, field: str) -> DataFrame:
     return df.select(F.col(key).cast("bigint"), field).mapInArrow(run, "id bigint, k binary, n int, text string")
 
 
-def _prefixes(distinct: DataFrame, frequency: dict[str, int]) -> DataFrame:
+def _all_shingles(distinct: DataFrame) -> DataFrame:
+    """``h`` of every shingle of each text."""
+
+    def run(batches):
+        s = Shingler(None, 1)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([h for t in b.column(0).to_pylist() for h in s.shingles(t.split(" "))], pa.int64())], ["h"])
+
+    return distinct.select("text").mapInArrow(run, "h bigint")
+
+
+def _prefixes(distinct: DataFrame, sketch, bits: int) -> DataFrame:
     """``k, n, h, pos`` of each distinct text's prefix."""
 
     def run(batches):
-        s = Shingler(frequency)
+        s = Shingler(sketch.value, bits)
         for b in batches:
             ks, ns, hs, ps = [], [], [], []
             for k, n, t in zip(*(b.column(c).to_pylist() for c in ("k", "n", "text"))):
@@ -169,63 +196,47 @@ def _prefixes(distinct: DataFrame, frequency: dict[str, int]) -> DataFrame:
     return distinct.select("k", "n", "text").mapInArrow(run, "k binary, n int, h bigint, pos int")
 
 
-_SPREAD = 0x9E3779B97F4A7C15
-
-
-def _bit(h: int, bits: int) -> int:
-    return ((h * _SPREAD) & 0xFFFFFFFFFFFFFFFF) >> (64 - bits)
-
+def _sketch(values: DataFrame, bits: int) -> bytes:
+    """How often each of 2**bits slots is hit by the hashes ``h``, as bytes: 0, or 1 + the base-2 logarithm.
 
-def _bitmap(values: DataFrame, bits: int) -> bytes:
-    """A bitmap of ``2**bits`` bits with those of the ``h``s set; the driver gets its pieces, a fixed total."""
+    Counts are combined in the tasks, then by slot; the driver gets pieces of a fixed total size.
+    """
 
-    def run(batches):
-        seen: dict[int, np.ndarray] = {}
+    def slots(batches):
         for b in batches:
             h = b.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
             with np.errstate(over="ignore"):
-                bit = (h * np.uint64(_SPREAD)) >> np.uint64(64 - bits)
-            for part in np.unique(bit // _PART):
-                box = seen.setdefault(int(part), np.zeros(_PART // 8, dtype=np.uint8))
-                low = (bit[bit // _PART == part] % _PART).astype(np.int64)
-                np.bitwise_or.at(box, low >> 3, (1 << (low & 7)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([x.tobytes() for x in seen.values()], pa.binary())], ["part", "bits"])
-
-    def merge(key, batch):
-        box = np.zeros(_PART // 8, dtype=np.uint8)
-        for x in batch.column("bits").to_pylist():
-            box |= np.frombuffer(x, dtype=np.uint8)
+                at, n = np.unique((h * np.uint64(_SPREAD)) >> np.uint64(64 - bits), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((at // _PART).astype(np.int32)), pa.array((at % _PART).astype(np.int32)), pa.array(n.astype(np.int64))], ["part", "slot", "n"])
+
+    def dense(key, table):
+        box = np.zeros(_PART, dtype=np.uint8)
+        box[table.column("slot").to_numpy()] = 1 + np.log2(table.column("n").to_numpy()).astype(np.uint8)
         return pa.table({"part": [key[0].as_py()], "bits": [box.tobytes()]}, schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())]))
 
-    pieces = values.select("h").mapInArrow(run, "part int, bits binary").groupBy("part").applyInArrow(merge, "part int, bits binary")
-    out = bytearray(max(1 << bits, _PART) // 8)
-    for r in pieces.collect():  # at most 2**bits / _PART rows
-        out[r.part * _PART // 8 : (r.part + 1) * _PART // 8] = r.bits
+    counted = values.select("h").mapInArrow(slots, "part int, slot int, n bigint").groupBy("part", "slot").agg(F.sum("n").alias("n"))
+    out = bytearray(max(1 << bits, _PART))
+    for r in counted.groupBy("part").applyInArrow(dense, "part int, bits binary").collect():  # a group has at most _PART rows, the result 2**bits bytes
+        out[r.part * _PART : (r.part + 1) * _PART] = r.bits
     return bytes(out)
 
 
-def _probe(train: DataFrame, key: str, fields: list[str], frequency: dict[str, int], bitmap, bits: int) -> DataFrame:
-    """``id, k, n, text`` of the training texts that the bitmap doesn't rule out."""
+def _probe(train: DataFrame, key: str, fields: list[str], sketch, keys, bits: int) -> DataFrame:
+    """``id, k, n, text`` of the training texts that may match: they are in ``keys``, or have a prefix in ``sketch``."""
     schema = pa.schema([("id", pa.int64()), ("k", pa.binary()), ("n", pa.int32()), ("text", pa.string())])
 
     def run(batches):
-        s, bm = Shingler(frequency), bitmap.value
-
-        def hit(h: int) -> bool:
-            x = _bit(h, bits)
-            return bm[x >> 3] >> (x & 7) & 1 == 1
-
+        s, exact, shift = Shingler(sketch.value, bits), keys.value, 64 - bits
         for b in batches:
             ids = b.column(0).to_pylist()
             out = []
             for n in range(len(fields)):
                 for i, t in zip(ids, b.column(n + 1).to_pylist()):
                     ws = words(t)
-                    if not ws:
-                        continue
-                    k = key_of(ws)
-                    if hit(int.from_bytes(k[:8], "little") >> 1) or any(hit(h) for h, _ in s.prefix(ws)):
-                        out.append((i, k, len(ws), " ".join(ws)))
+                    if ws:
+                        k = key_of(ws)
+                        if exact[(_key_hash(k) * _SPREAD & _ALL) >> shift] or s.prefix(ws):
+                            out.append((i, k, len(ws), " ".join(ws)))
             cols = list(zip(*out)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
@@ -254,16 +265,15 @@ def overlaps(train: DataFrame, test: DataFrame, key: str = "rec_id", train_field
     evals = stage(_texts(test, key, test_field))
     one = lambda d: d.groupBy("k").agg(F.first("n").alias("n"), F.first("text").alias("text"))
     eval_texts = one(evals)
-    counted = evals.select(F.explode(F.split("text", " ")).alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(COMMON_WORDS)
-    frequency = {r.w: r["count"] for r in counted.collect()}  # at most COMMON_WORDS rows
-    index = stage(_prefixes(eval_texts, frequency))
-    size = index.count() + evals.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, size.bit_length() + 4))
-    bitmap = spark.sparkContext.broadcast(_bitmap(index.select("h").unionAll(_key_hashes(evals)), bits))
-
-    rows = stage(_probe(train, key, list(train_fields), frequency, bitmap, bits))
+    words_there = evals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = min(MOST_BITS, max(LEAST_BITS, int(words_there).bit_length() + 4))
+    sketch = spark.sparkContext.broadcast(_sketch(_all_shingles(eval_texts), bits))
+    keys = spark.sparkContext.broadcast(_sketch(_key_hashes(evals), bits))
+    index = _prefixes(eval_texts, sketch, bits)
+
+    rows = stage(_probe(train, key, list(train_fields), sketch, keys, bits))
     train_texts = one(rows)
-    probes = _prefixes(train_texts, frequency).select(F.col("k").alias("kt"), F.col("n").alias("nt"), "h", F.col("pos").alias("pt"))
+    probes = _prefixes(train_texts, sketch, bits).select(F.col("k").alias("kt"), F.col("n").alias("nt"), "h", F.col("pos").alias("pt"))
     found = probes.join(index.select(F.col("k").alias("ke"), F.col("n").alias("ne"), "h", F.col("pos").alias("pe")), "h")
     d = F.floor(F.greatest("nt", "ne") / ONE_IN)
     near = found.where((F.abs(F.col("nt") - F.col("ne")) <= d) & (F.abs(F.col("pt") - F.col("pe")) <= d) & (F.col("kt") != F.col("ke"))).select("kt", "ke").distinct()
@@ -277,7 +287,7 @@ def overlaps(train: DataFrame, test: DataFrame, key: str = "rec_id", train_field
 def _key_hashes(evals: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(k[:8], "little") >> 1 for k in b.column(0).to_pylist()], pa.int64())], ["h"])
+            yield pa.RecordBatch.from_arrays([pa.array([_key_hash(k) for k in b.column(0).to_pylist()], pa.int64())], ["h"])
 
     return evals.select("k").mapInArrow(run, "h bigint")
 
