@@ -21,10 +21,11 @@ _FIELDS = K.RECORD_KEYS
 def canonical(x: Column) -> Column:
     """Without punctuation (category P), in one case, runs of white space as one space, trimmed; NULL as ''.
 
-    The case is folded by way of upper case, so that ``ß`` equals ``SS``.
+    The case is folded by way of upper case, so that ``ß`` equals ``SS``; punctuation is dropped between
+    the two steps, as the optimizer would make ``lower(upper(x))`` a mere ``lower(x)``.
     """
-    bare = F.regexp_replace(F.coalesce(x, F.lit("")), r"\p{P}+", "")
-    return F.btrim(F.regexp_replace(F.lower(F.upper(bare)), f"{K.WS}+", " "))
+    bare = F.regexp_replace(F.upper(F.coalesce(x, F.lit(""))), r"\p{P}+", "")
+    return F.btrim(F.regexp_replace(F.lower(bare), f"{K.WS}+", " "))
 
 
 def parsed(raw: DataFrame, key: str = "rec_id", line: str = "raw_line") -> DataFrame:

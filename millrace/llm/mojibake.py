@@ -143,10 +143,12 @@ def _script(c: str) -> str:
 def cost(text: str) -> float:
     """How implausible the characters of ``text`` are, each in its place; 0 for ordinary text.
 
-    Control characters cost most, then symbols that touch letters, letters foreign to the corpus'
+    Control characters cost most, then escapes that could be resolved, then symbols that touch letters, letters foreign to the corpus'
     languages, capitals after small letters, scripts that change inside a word.
     """
     total, n = 0.0, len(text)
+    if "&" in text or "\\u" in text:
+        total += 2.0 * sum(1 for m in _ESCAPE.finditer(text) if UNESCAPE["escaped"].apply(m.group()) != m.group())
     for i, c in enumerate(text):
         if c < "\x80":
             if c.isupper() and i and text[i - 1] >= "\x80" and text[i - 1].islower():
@@ -262,7 +264,8 @@ def restore(text: str) -> tuple[str, bool]:
     """``(restored text, garbled)``.
 
     ``garbled``: some characters come from a wrong decoding, whether or not they can be restored
-    (replacement characters and stray control characters cannot).  Empty and ordinary texts come
+    (replacement characters and stray control characters cannot).  Escapes are resolved but are no
+    wrong decoding.  Empty and ordinary texts come
     back as they are.
     """
     if text.isascii() and not _ESCAPE.search(text) or not _ODD.search(text):
@@ -282,7 +285,7 @@ def restore(text: str) -> tuple[str, bool]:
                     at = m.end()
                     used.add(path)
         line = "".join(out) + line[at:]
-        if used:
+        if any(name != "escaped" for path in used for name in path):
             garbled = True
             line = _carry(line, used)
         if _SWAP_HINT.search(line):

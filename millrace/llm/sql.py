@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import constants as K
 
-_CANON = lambda x: rf"trim(regexp_replace(lower(upper(regexp_replace(coalesce({x}, ''), '\p{{P}}+', '', 'g'))), '{K.WS}+', ' ', 'g'))"
+_CANON = lambda x: rf"trim(regexp_replace(lower(replace(regexp_replace(upper(coalesce({x}, '')), '\p{{P}}+', '', 'g'), 'ß', 'SS')), '{K.WS}+', ' ', 'g'))"
 _RECORDS = """SELECT rec_id, instruction, input, output FROM train UNION ALL
   SELECT rec_id, raw_line ->> '$.instruction', raw_line ->> '$.input', raw_line ->> '$.output' FROM (SELECT * FROM train_raw WHERE json_valid(raw_line)) WHERE json_type(raw_line) = 'OBJECT'"""
 _GROUPED = f"""SELECT rec_id, min(rec_id) OVER (PARTITION BY ci, cn, co) AS keep_id FROM (
