@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from . import langid
 from .skeleton import clean
 
@@ -234,7 +235,7 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
 
 def defects(df: DataFrame, samples: dict[str, list[str]], key: str = "rec_id") -> DataFrame:
     """``key, defect``: every defect of each pair.  An empty output has no other; sound pairs give no rows."""
-    judged = _judge(df, key, samples)
+    judged = stage(_judge(df, key, samples))  # few, narrow rows, read twice
     plain = judged.where("defect IS NOT NULL").select(key, "defect")
     never = word_endings(df, ["input", "output"]).where((F.col("ends") + F.col("inside") > 0))
     open_ended = judged.where("defect IS NULL").select(key, F.col("own"), F.col("word"))
