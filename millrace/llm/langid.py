@@ -67,7 +67,8 @@ def _hash_steps(codes: np.ndarray, starts: np.ndarray, top: int):
     for n in range(1, top + 1):
         ok = pos - starts >= n - 1
         shifted = np.zeros_like(c)
-        shifted[n - 1 :] = c[: len(c) - n + 1]
+        if n <= len(c):
+            shifted[n - 1 :] = c[: len(c) - n + 1]
         h = h + shifted * np.uint64(power)
         power = power * _MIX & wrap
         x = h ^ (h >> np.uint64(29))
@@ -146,11 +147,8 @@ class Models:
             out[n] = (g, c, ctx_of, counts.astype(float))
         return out
 
-    def score(self, words: list[str]) -> np.ndarray:
-        """Log-probability of each word under each language; 0 for an empty word."""
-        out = np.zeros((len(words), len(self.languages)))
-        if not words:
-            return out
+    def logs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The log-probability of each character of ``_word_`` under each language, and where words begin."""
         codes, starts, begin = _spell(words)
         p = np.full((len(codes), len(self.languages)), self.floor)
         prev = None
@@ -160,8 +158,7 @@ class Models:
             g = np.minimum(np.searchsorted(gh, h), len(gh) - 1)
             hit = (gh[g] == h) & ok
             if n == 1:
-                weight = np.broadcast_to(cv[0], p.shape)
-                p = weight * p
+                p *= cv[0]
             else:
                 ctx = np.concatenate([[np.uint64(0)], prev[:-1]])
                 c = np.minimum(np.searchsorted(ch, ctx), len(ch) - 1)
@@ -169,8 +166,15 @@ class Models:
                 p[known] *= cv[c[known]]
             p[hit] += gv[g[hit]]
             prev = h
-        logs = np.log(p)
-        logs[begin] = 0  # the first mark is given
+        out = np.log(p)
+        out[begin] = 0  # the first mark is given
+        return out, begin
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log-probability of each word under each language; 0 for an empty word."""
+        if not words:
+            return np.zeros((0, len(self.languages)))
+        logs, begin = self.logs(words)
         out = np.add.reduceat(logs, begin, axis=0)
         out[[i for i, w in enumerate(words) if not w]] = 0
         return out
