@@ -24,7 +24,7 @@ def brute(rows):
 
 
 ROWS = [
-    (5, "Translate", "A  b", "c."), (3, "translate!", "a b", "C"), (9, "“translate”", " a b\n", "c…"), (7, "translate", "a b", "d"), (1, None, None, None), (2, "", "…", " "),
+    (5, "Translate", "A  b", "c."), (3, "translate!", "a b", "C"), (9, "“translate”", " a\u00a0b\n", "c…"), (7, "translate", "a b", "d"), (1, None, None, None), (2, "", "…", " "),
     (4, "x", "straße", "y"), (6, "X", "STRASSE", "y"), (8, "x y", "", "z"), (10, "x", "y", "z"), (11, "Translate", "A  b", "c."), (12, "x" * 100_000, "", ""), (13, "X" * 100_000 + "!", None, ""),
 ]
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import mojibake as M
 
-GOOD = ["", "plain", "Lutoru shovraa kpal kpanyombüŋ, “gɛn” – don’t", "LIÇÃO 36 NIÑO «É»", "Signs: Å, µ, £, Ã, °, ß, œ, Þ, €, Â.", "Мать забыл у реки. Её ёж", "La particule ndaal © 2024", "ŋ́u é ö ü ɛ", "¿Qué? ¡Sí!", "Übung für große Häuser"]
+GOOD = ["", "plain", "Lutoru shovraa kpal kpanyombüŋ, “gɛn” – don’t", "LIÇÃO 36 NIÑO «É»", "Signs: Å, µ, £, Ã, °, ß, œ, Þ, €, Â.", "Мать забыл у реки. Её ёж", "La particule ndaal © 2024", "ŋ\u0301u é ö ü ɛ", "¿Qué? ¡Sí!", "Übung für große Häuser"]
 SAMPLE = "Lutoru shovraa kpanyombüŋ yén nyü gɛn “ŋgé” – don’t"
 
 

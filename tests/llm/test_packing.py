@@ -37,7 +37,7 @@ def test_containers(spark):
 def test_hot_length(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, 4).otherwise(F.col("id") % 10 + 1).cast("int").alias("n_tokens"))
     u = P.unused(P.containers(P.pieces(df, capacity=10), capacity=10), 10).first()
-    assert u.n_items == 4000 and u.n_containers <= 1.02 * u.least_containers
+    assert u.n_items == 4000 and u.n_containers <= 1.1 * u.least_containers
 
 
 def test_buckets(spark):

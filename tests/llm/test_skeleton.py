@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm import skeleton as S
 
-CASES = ["é x", "ｆｕｌｌ text", "ﬁne", "zero​width", "﻿bom", "no break", "thin space", "ideographic　space", "soft­hyphen", "pаy", "Тhe dog", "ǌuvo", "Наш сосед cторожит лодку", "οmega in Latin: οf", "The саr is red", "x﻿", "Ι trust him"]
-PROPER = ["", "plain", "“quotes” – dashes… ‘x’", "Мать несёт лодку у вождя", "English and (Мать у реки и с братом) more", "ŋ́u kpɛn naŋ", "Straße œuvre ça", "tab\tand\nline", "Καλημέρα κόσμε", "½ № ™ ©", "日本語 テスト"]
+CASES = ["e\u0301 x", "ｆｕｌｌ text", "ﬁne", "zero\u200bwidth", "\ufeffbom", "no\u00a0break", "thin\u2009space", "ideographic\u3000space", "soft\u00adhyphen", "pаy", "Тhe dog", "ǌuvo", "Наш сосед cторожит лодку", "οmega in Latin: οf", "The саr is red", "x\ufeff", "Ι trust him"]
+PROPER = ["", "plain", "“quotes” – dashes… ‘x’", "Мать несёт лодку у вождя", "English and (Мать у реки и с братом) more", "ŋ\u0301u kpɛn naŋ", "Straße œuvre ça", "tab\tand\nline", "Καλημέρα κόσμε", "½ № ™ ©", "日本語 テスト"]
 
 
 @pytest.mark.parametrize("text", CASES)
@@ -19,13 +19,13 @@ def test_proper(text):
 
 
 def test_clean_forms():
-    assert S.clean("ｆｕｌｌ　ﬁne​ é pаy ǌ") == "full fine é pay nj"
+    assert S.clean("ｆｕｌｌ\u3000ﬁne\u200b e\u0301 pаy ǌ") == "full fine é pay nj"
     assert S.clean("Наш сосед cторожит") == "Наш сосед сторожит"
     assert S.skeleton("pаy") == S.skeleton("pay") == "pay" and S.skeleton("") == ""
 
 
 def test_found_and_groups(spark, rows):
-    data = [(1, "pаy", None), (2, "pay", ""), (3, None, "zero​width"), (4, "pay", "x" * 300_000 + " "), (None, "ﬁ", "ok")]
+    data = [(1, "pаy", None), (2, "pay", ""), (3, None, "zero\u200bwidth"), (4, "pay", "x" * 300_000 + "\u00a0"), (None, "ﬁ", "ok")]
     df = spark.createDataFrame(data, "rec_id bigint, input string, output string").withColumns({c: F.lit("z") for c in ("k", "t", "s", "n", "field_name", "text")})
     assert rows(S.found(df, "rec_id", ["input", "output"])) == [(1, "input"), (3, "output"), (4, "output"), (None, "input")]
     assert (1, "input", "pay") in rows(S.cleaned(df, "rec_id", ["input", "output"]))
