@@ -46,7 +46,7 @@ SPELLINGS = {
 MISSING = {"", "und", "unknown"}
 
 _CODE = {s: code for code, names in SPELLINGS.items() for s in names.split()}
-_LETTERS = re.compile(r"[^\W\d_]+(?:['’̀-ͯ][^\W\d_]*)*")
+_LETTERS = re.compile(r"[^\W\d_]+(?:['’\u0300-\u036f][^\W\d_]*)*")
 _MIX = 0x9E3779B97F4A7C15
 
 

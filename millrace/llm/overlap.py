@@ -36,7 +36,7 @@ LEAST_BITS, MOST_BITS = 20, 26
 _PART = 1 << 16
 _SPREAD, _ALL, _POSITIVE = 0x9E3779B97F4A7C15, (1 << 64) - 1, (1 << 63) - 1
 
-_BARE = re.compile(r"[^\w\s̀-ͯ]|_")
+_BARE = re.compile(r"[^\w\s\u0300-\u036f]|_")
 
 
 def words(text: str | None) -> list[str]:

@@ -92,7 +92,7 @@ _CODED = re.compile(f"[{_class(WIDE | LIGATURES | INVISIBLE | SPACES)}]")
 #: Letters of scripts that share shapes with Latin.
 _OTHER_SCRIPT = re.compile(f"[{_ALIEN}]")
 _SUSPECT = re.compile(f"[{_class(WIDE | LIGATURES | INVISIBLE | SPACES)}{_ALIEN}]")
-_WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ]*[^\W\d_]*)*")
+_WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]*[^\W\d_]*)*")
 
 
 def _script(c: str) -> str:
