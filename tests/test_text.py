@@ -20,7 +20,7 @@ def test_canonical_instruction(spark):
     cases = {
         K.B2E: K.B2E, "Identify noun": "Identify the Balanda noun", "identify the balanda  noun": "Identify the Balanda noun",
         "Identify Balanda Balanda noun": "Identify the Balanda noun", "Identifying nouns": "Identifying nouns", "Explain x": "Explain x", "": "",
-        "Identify the noun 　": "Identify the Balanda noun",
+        "Identify\u00a0the noun \u3000": "Identify the Balanda noun",
     }
     got = one(spark, X.canonical_instruction, *cases, None)
     assert got == [*cases.values(), None]
@@ -36,11 +36,11 @@ def test_keyword_category(spark):
 def test_names(spark):
     assert one(spark, X.grammar_name, "a/Past Tense-form_v12.jsonl", "x_v1.b_v2.jsonl", ".hidden", "nouns/Noun + verb (+ object/place)_v1.jsonl", "") == ["past_tense_form", "x_v1.b", ".hidden", "place)", ""]
     assert one(spark, X.humanize, "my_key-x_", None) == ["my key x", None]
-    assert one(spark, X.strip, "  a b　\t", "", None) == ["a b", "", None]
+    assert one(spark, X.strip, " \u00a0a b\u3000\t", "", None) == ["a b", "", None]
 
 
 def test_opt_in_forms(spark):
-    assert one(spark, X.nfc, "é", "abc", "", None) == ["é", "abc", "", None]
+    assert one(spark, X.nfc, "e\u0301", "abc", "", None) == ["é", "abc", "", None]
     assert one(spark, X.replace_digraph, "ng'a Ng'a", None) == ["ŋa Ŋa", None]
     assert one(spark, lambda c: X.truncate_words(c, 2), " a  b c", "", None) == ["a b", "", None]
     assert one(spark, X.short_status, "x" * 19, "x" * 18, None) == ["x" * 15 + "...", "x" * 18, None]
