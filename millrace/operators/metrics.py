@@ -13,13 +13,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 CHAR_ORDER, WORD_ORDER, BETA = 6, 2, 2
 BLEU_ORDER = 4
 _WORD = re.compile(r"\w+|[^\w\s]")
 
 
 def _grams(items, n: int) -> Counter:
-    return Counter(zip(*(items[i:] for i in range(n)))) if n > 1 else Counter(items)
+    if n == 1:
+        return Counter(items)
+    if isinstance(items, str):
+        return Counter([items[i : i + n] for i in range(len(items) - n + 1)])
+    return Counter(zip(*(items[i:] for i in range(n))))
+
+
+def _shared(a: Counter, b: Counter) -> int:
+    """Clipped matches."""
+    return sum(min(a[g], b[g]) for g in a.keys() & b.keys())
 
 
 def chrf_orders(hyp: str, ref: str) -> list[tuple[str, int, int, int]]:
@@ -31,8 +42,7 @@ def chrf_orders(hyp: str, ref: str) -> list[tuple[str, int, int, int]]:
     for name, h, r, top in (("c", hc, rc, CHAR_ORDER), ("w", hw, rw, WORD_ORDER)):
         for n in range(1, top + 1):
             a, b = _grams(h, n), _grams(r, n)
-            small, large = (a, b) if len(a) < len(b) else (b, a)
-            out.append((f"{name}{n}", sum(min(c, large[g]) for g, c in small.items() if g in large), max(len(h) - n + 1, 0), max(len(r) - n + 1, 0)))
+            out.append((f"{name}{n}", _shared(a, b), max(len(h) - n + 1, 0), max(len(r) - n + 1, 0)))
     return out
 
 
@@ -42,7 +52,7 @@ def bleu_orders(hyp: str, ref: str) -> list[tuple[str, int, int, int]]:
     out = []
     for n in range(1, BLEU_ORDER + 1):
         a, b = _grams(h, n), _grams(r, n)
-        out.append((str(n), sum(min(c, b[g]) for g, c in a.items() if g in b), max(len(h) - n + 1, 0), max(len(r) - n + 1, 0)))
+        out.append((str(n), _shared(a, b), max(len(h) - n + 1, 0), max(len(r) - n + 1, 0)))
     return out
 
 
@@ -59,7 +69,7 @@ def _pair_stats(pairs: DataFrame, per_pair) -> DataFrame:
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), *(pa.array(c, pa.int64()) for c in cols[2:])], ["direction", "gram", "matches", "n_hyp", "n_ref", "pairs"])
 
-    part = pairs.select("direction", "hyp", "ref").mapInArrow(run, "direction string, gram string, matches bigint, n_hyp bigint, n_ref bigint, pairs bigint")
+    part = spread(pairs.select("direction", "hyp", "ref")).mapInArrow(run, "direction string, gram string, matches bigint, n_hyp bigint, n_ref bigint, pairs bigint")
     return part.groupBy("direction", "gram").agg(*[F.sum(c).cast("bigint").alias(c) for c in ("matches", "n_hyp", "n_ref", "pairs")])
 
 
