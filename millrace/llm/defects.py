@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
+from ..sources.tables import spread
 from . import langid
 from .skeleton import clean
 
@@ -190,7 +191,7 @@ def word_endings(df: DataFrame, fields: list[str]) -> DataFrame:
                 yield flush()
         yield flush()
 
-    parts = df.select(*fields).mapInArrow(run, "own boolean, word string, ends bigint, inside bigint")
+    parts = spread(df.select(*fields)).mapInArrow(run, "own boolean, word string, ends bigint, inside bigint")
     return parts.groupBy("own", "word").agg(F.sum("ends").alias("ends"), F.sum("inside").alias("inside"))
 
 
@@ -230,7 +231,7 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
             cols = list(zip(*out)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
-    return df.select(F.col(key).cast("bigint").alias(key), "instruction", "input", "output").mapInArrow(run, f"{key} bigint, defect string, own boolean, word string")
+    return spread(df.select(F.col(key).cast("bigint").alias(key), "instruction", "input", "output")).mapInArrow(run, f"{key} bigint, defect string, own boolean, word string")
 
 
 def defects(df: DataFrame, samples: dict[str, list[str]], key: str = "rec_id") -> DataFrame:

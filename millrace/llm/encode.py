@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 #: Characters per chunk and of overlap with the next one.
 CHUNK, OVERLAP = 16_384, 512
 DEFAULT_TOKENIZER = "byte_bpe_50k"
@@ -125,7 +127,7 @@ def _encode(docs: DataFrame, key: str, text: str, name: str, folder: str | None,
     value, ddl = (pa.int32(), "int") if count_only else (pa.list_(pa.int32()), "array<int>")
     field = "n_tokens" if count_only else "ids"
     schema = pa.schema([(key, pa.int64()), (field, value)])
-    d = docs.select(F.col(key).cast("bigint").alias(key), F.col(text).alias("__t"))
+    d = spread(docs.select(F.col(key).cast("bigint").alias(key), F.col(text).alias("__t")))
 
     def short(batches):
         c = codec(name, folder)

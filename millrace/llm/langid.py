@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
 from .skeleton import clean
 
 ORDER = 5
@@ -422,7 +423,7 @@ def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
     ddl = f"{key} bigint, field_name string, seg_no int, lang string, confidence double" + ("" if cases_only else ", label string")
-    return df.select(F.col(key).cast("bigint").alias(key), *dict.fromkeys([*fields, *fields.values()])).mapInArrow(run, ddl)
+    return spread(df.select(F.col(key).cast("bigint").alias(key), *dict.fromkeys([*fields, *fields.values()]))).mapInArrow(run, ddl)
 
 
 __all__ = ["Identifier", "Models", "label", "load_samples", "identifier", "segments", "SparkSession"]

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 #: Encodings whose characters UTF-8 bytes may have been read as.
 READ_AS = ["cp1252", "cp1250", "cp1251", "cp437", "cp850", "cp852", "cp866", "mac_roman", "koi8_r", "cp1254", "cp1253"]
 #: Single-byte confusions of Cyrillic: (read as, really).
@@ -328,7 +330,7 @@ def _run(docs: DataFrame, key: str, text: str, with_text: bool) -> DataFrame:
             cols = list(zip(*out)) if out else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
-    return docs.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(run, f"{key} bigint" + (", text string, restored boolean" if with_text else ""))
+    return spread(docs.select(F.col(key).cast("bigint").alias(key), text)).mapInArrow(run, f"{key} bigint" + (", text string, restored boolean" if with_text else ""))
 
 
 def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
+from ..sources.tables import spread
 from .skeleton import clean
 
 #: Words per shingle; one word in so many may differ; texts below this length only match exactly.
@@ -240,7 +241,7 @@ def _probe(train: DataFrame, key: str, fields: list[str], sketch, keys, bits: in
             cols = list(zip(*out)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
-    return train.select(F.col(key).cast("bigint"), *fields).mapInArrow(run, "id bigint, k binary, n int, text string")
+    return spread(train.select(F.col(key).cast("bigint").alias("id"), *fields)).mapInArrow(run, "id bigint, k binary, n int, text string")
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
