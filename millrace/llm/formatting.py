@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..sources.staging import stage
 
 _FIELDS = K.RECORD_KEYS
 
@@ -56,16 +57,21 @@ def parsed(raw: DataFrame, key: str = "rec_id", line: str = "raw_line") -> DataF
     return raw.select(F.col(key).cast("bigint"), line).mapInArrow(run, f"{key} bigint, " + ", ".join(f"{f} string" for f in _FIELDS))
 
 
-def _digest(*cols: Column) -> Column:
-    """128 bits of the fields, told apart also where one is NULL or holds the separator."""
-    return F.unhex(F.md5(F.concat_ws("", *[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cols])))
+def _digest(name: str, *cols: Column) -> list[Column]:
+    """128 bits of the columns as two numbers; NULL, '' and where a field ends make a difference.
+
+    Never NULL, so that no join adds a filter on it, which would move its computation below the grouping.
+    """
+    parts = [x for c in cols for x in (F.coalesce(F.length(c), F.lit(-1)), F.coalesce(c, F.lit("")))]
+    return [F.xxhash64(*parts).alias(f"{name}1"), F.xxhash64(F.lit(name), *parts).alias(f"{name}2")]
 
 
 def _distinct(records: DataFrame, key: str) -> DataFrame:
-    """The byte-identical groups: fields, ``n``, ``first_id`` and the canonical text."""
+    """The byte-identical groups: digest, ``n``, ``first_id``, the canonical text and its digest."""
     d = records.where(F.col(key).isNotNull()).groupBy(*_FIELDS).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_id"))
     text = F.concat_ws("\n", *[canonical(F.col(f)) for f in _FIELDS])  # no canonical field holds a line feed
-    return d.select(_digest(*[F.col(f) for f in _FIELDS]).alias("raw"), "n", "first_id", text.alias("canonical"))
+    shaped = d.select(*_digest("raw", *[F.col(f) for f in _FIELDS]), "n", "first_id", text.alias("canonical"))
+    return shaped.select("raw1", "raw2", "n", "first_id", "canonical", *_digest("canon", F.col("canonical")))
 
 
 def groups(records: DataFrame, key: str = "rec_id") -> DataFrame:
@@ -84,8 +90,8 @@ def copies(records: DataFrame, key: str = "rec_id") -> DataFrame:
     are on keys that adaptive execution may split where they are skewed.  An id that occurs in
     several rows of a group is no copy of itself where it is the smallest.
     """
-    distinct = _distinct(records, key)
-    several = distinct.groupBy("canonical").agg(F.min("first_id").alias("keep_id"), F.sum("n").alias("m")).where("m > 1").select(F.unhex(F.md5("canonical")).alias("c"), "keep_id")
-    members = distinct.select("raw", F.unhex(F.md5("canonical")).alias("c")).join(several, "c").select("raw", "keep_id")
-    rows = records.where(F.col(key).isNotNull()).select(F.col(key).alias("dup_id"), _digest(*[F.col(f) for f in _FIELDS]).alias("raw"))
-    return rows.join(members, "raw").where("dup_id <> keep_id").select("keep_id", "dup_id")
+    distinct = stage(_distinct(records, key))  # else it would be made for both of its uses
+    several = distinct.groupBy("canonical").agg(F.min("first_id").alias("keep_id"), F.sum("n").alias("m"), F.first("canon1").alias("canon1"), F.first("canon2").alias("canon2")).where("m > 1").select("canon1", "canon2", "keep_id")
+    members = distinct.select("raw1", "raw2", "canon1", "canon2").join(several, ["canon1", "canon2"]).select("raw1", "raw2", "keep_id")
+    rows = records.where(F.col(key).isNotNull()).select(F.col(key).alias("dup_id"), *_digest("raw", *[F.col(f) for f in _FIELDS]))
+    return rows.join(members, ["raw1", "raw2"]).where("dup_id <> keep_id").select("keep_id", "dup_id")
