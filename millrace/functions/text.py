@@ -18,7 +18,7 @@ from . import constants as K
 __all__ = [
     "strip", "humanize", "grammar_name", "file_stem", "keyword_category", "instruction_type",
     "identified_category", "canonical_instruction", "first_filled", "nfc", "replace_digraph",
-    "truncate_words", "direction", "short_status",
+    "truncate_words", "direction", "short_status", "register",
 ]
 
 
@@ -115,3 +115,8 @@ def _nfc(s: pd.Series) -> pd.Series:
 def nfc(x: Column | str) -> Column:
     """Unicode NFC.  Opt-in."""
     return F.pandas_udf(_nfc, "string")(_c(x))
+
+
+def register(spark) -> None:
+    """Make ``nfc`` callable from SQL."""
+    spark.udf.register("nfc", F.pandas_udf(_nfc, "string"))

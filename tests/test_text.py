@@ -51,3 +51,8 @@ def test_split_sizes(spark, n, sizes):
     df = spark.createDataFrame([(i, None, "t") for i in range(n)], "id bigint, s string, t string")
     got = {r.split: r["count"] for r in split.stratified_split(df, ["s", "t"], "id").groupBy("split").count().collect()}
     assert tuple(got.get(x, 0) for x in K.SPLITS) == sizes
+
+
+def test_nfc_in_sql(spark):
+    X.register(spark)
+    assert spark.sql("select nfc('e' || chr(769)) as x").first().x == "\u00e9"
