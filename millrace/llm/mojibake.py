@@ -214,7 +214,7 @@ def search(text: str, operations: dict) -> tuple[str, tuple[str, ...]]:
 
 _TOKEN_OPS = READERS | UNESCAPE
 #: What can come from a wrong decoding: anything but usual letters and marks where they belong.
-_ODD = re.compile("[^\x00-\x7f" + "".join(sorted(_USUAL | set(MARKS) | {chr(c) for c in range(0x300, 0x370)})).replace("-", "\\-").replace("]", "\\]").replace("^", "\\^") + "]|[ÂÃâ][¡¿·«»‹›‘’“”„‚–—…•\xa0-\xbf]|[а-яё][А-ЯЁ]{2}|[‚]Ä|&#?\\w+;|\\\\u[0-9a-fA-F]{4}")
+_ODD = re.compile("[^\x00-\x7f" + "".join(sorted(_USUAL | set(MARKS) | {chr(c) for c in range(0x300, 0x370)})).replace("-", "\\-").replace("]", "\\]").replace("^", "\\^") + "]|[ÂÃâ][¡¿·«»‹›‘’“”„‚–—…•\xa0-\xbf]|[а-яё][А-ЯЁ]{2}|[‚]Ä|[^\x00-\x7f][‹›‚„]|&#?\\w+;|\\\\u[0-9a-fA-F]{4}")
 _ODD_TOKEN = re.compile(r"[^ \t\r\n]+")
 _SWAP_HINT = re.compile("[\xc0-\xff]{3}|[а-яё][А-ЯЁ]{2}|[─-╿Α-Ω]{2}|[¨¸°±-¿À-ÿ]{3}")
 _CYRILLIC = re.compile("[А-яЁё]")
@@ -274,6 +274,7 @@ def restore(text: str) -> tuple[str, bool]:
         return text, False
     garbled = _LOST in text or bool(_C1.search(text))
     lines = text.split("\n")
+    known: set[tuple[str, ...]] = set()
     for n, line in enumerate(lines):
         if not _ODD.search(line):
             continue
@@ -289,16 +290,18 @@ def restore(text: str) -> tuple[str, bool]:
         line = "".join(out) + line[at:]
         if any(name != "escaped" for path in used for name in path):
             garbled = True
-            line = _carry(line, used)
+            known |= used
         if _SWAP_HINT.search(line):
             line, path = _swap_line(line)
             garbled |= bool(path)
         lines[n] = line
+    if known:
+        lines = [line if line.isascii() else _carry(line, known) for line in lines]
     return "\n".join(lines), garbled
 
 
 def _carry(line: str, used: set[tuple[str, ...]]) -> str:
-    """Apply what restored the odd tokens of a line to its other tokens too, where that costs nothing."""
+    """Apply what restored the odd tokens of a text to its other tokens too, where that costs nothing."""
 
     def one(m: re.Match) -> str:
         t = m.group()
@@ -308,7 +311,7 @@ def _carry(line: str, used: set[tuple[str, ...]]) -> str:
             new = t
             for name in path:
                 new = _TOKEN_OPS[name].apply(new)
-            if new != t and cost(new) <= cost(t) and all(kind(c) in "um" for c in new if c >= "\x80"):
+            if new != t and cost(new) <= cost(t) and all(kind(c) in "umls" for c in new if c >= "\x80"):
                 return new
         return t
 

@@ -21,6 +21,11 @@ def test_round_trip(encoding):
     assert M.restore("Proper start. " + wrong("vrüüyü") + " proper end ŋü") == ("Proper start. vrüüyü proper end ŋü", True)
 
 
+def test_marks_as_tails():
+    assert M.restore("she says gedukpiЕ‹. The bЙ›yi") == ("she says gedukpiŋ. The bɛyi", True)
+    assert M.restore("‹kpɛ› and „kpɛ‚") == ("‹kpɛ› and „kpɛ‚", False)
+
+
 def test_twice():
     w = lambda t: "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in t.encode())
     assert M.restore(w(w("nyihél ‘gɛn’ düü"))) == ("nyihél ‘gɛn’ düü", True)
