@@ -11,6 +11,7 @@ last word (nearly) never ends a sentence, or is no word at all elsewhere, breaks
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -24,8 +25,9 @@ from . import langid
 from .skeleton import clean
 
 ORDER = ["empty", "refusal", "copy", "other_language", "truncated"]
-#: Share of a word's occurrences that end a sentence, below which a text that ends with it breaks off.
-LEAST_END_SHARE = 0.03
+#: A text that ends with a word breaks off if less than this share of the word's occurrences end a sentence, and if so few
+#: would be seen by chance, at the usual share of words that do end sentences, with a probability of less than CHANCE.
+LEAST_END_SHARE, CHANCE = 0.01, 0.001
 #: Words that a copy may have beyond input and instruction (a label such as "Question:").
 SLACK = 1
 #: Counted words that a task holds before it passes them on.
@@ -137,9 +139,11 @@ def breaks_off(text: str) -> str | None:
     words = text.split()
     if len(words) < 2 or marked:
         return "no"
-    if unclosed or words[-1].rstrip(_CLOSERS)[-1:] in "+=/" or re.search(r"\+\s*\S*$", text) and "]" in text and not text.rstrip().endswith("]"):
+    if unclosed or words[-1].rstrip(_CLOSERS)[-1:] in "+=/":
         return "yes"
-    if text.rstrip()[-1:] in "])" or not word:
+    if re.search(r"\]\s*\+\s*\S*$", text):  # the second part of a pattern is missing
+        return "yes"
+    if text.rstrip(" .…'\"”’»)*!?")[-1:] == "]" or text.rstrip()[-1:] == ")" or not word:
         return "no"
     tail = [langid.letters_of(w) for w in words]
     at = max((i for i, w in enumerate(tail) if w in _JOINERS), default=-1)
@@ -223,7 +227,9 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
                 if wanted and segs and all(s[2] not in (wanted, langid.UNDETERMINED) for s in segs):
                     out.append((k, "other_language", None, None))
                 t = o if o.isascii() else clean(o)
-                how = breaks_off(t)
+                how = "no" if one_word else breaks_off(t)
+                if how not in ("yes", "no") and segs and segs[-1][2] != wanted:
+                    how = "no"  # words of a language that the corpus has little of say nothing
                 if how == "yes":
                     out.append((k, "truncated", None, None))
                 elif how != "no":
@@ -238,10 +244,15 @@ def defects(df: DataFrame, samples: dict[str, list[str]], key: str = "rec_id") -
     """``key, defect``: every defect of each pair.  An empty output has no other; sound pairs give no rows."""
     judged = stage(_judge(df, key, samples))  # few, narrow rows, read twice
     plain = judged.where("defect IS NOT NULL").select(key, "defect")
-    never = word_endings(df, ["input", "output"]).where((F.col("ends") + F.col("inside") > 0))
+    counts = stage(word_endings(df, ["input", "output"]))
     open_ended = judged.where("defect IS NULL").select(key, F.col("own"), F.col("word"))
-    # Only the words that may end a text are kept; what isn't among them breaks off.
-    fine = never.where((F.col("ends") + 0.3) / (F.col("ends") + F.col("inside") + 3) >= LEAST_END_SHARE).select("own", "word")
+    n, e = (F.col("ends") + F.col("inside")).cast("double"), F.col("ends").cast("double")
+    usual = counts.where("ends > 0").groupBy("own").agg((F.sum("ends") / F.sum(F.col("ends") + F.col("inside"))).alias("share"))  # two rows
+    expected = n * F.coalesce("share", F.lit(1.0))
+    unlikely = expected - e + F.when(e > 0, e * F.ln(e / expected)).otherwise(0.0) > -math.log(CHANCE)  # Chernoff's bound
+    never = (e < LEAST_END_SHARE * n) & (e < expected) & unlikely
+    # What is left are words that may end a text; what isn't among them breaks off.
+    fine = counts.join(usual, "own", "left").where((n > 0) & ~never).select("own", "word")
     cut = open_ended.join(fine, ["own", "word"], "left_anti").select(key, F.lit("truncated").alias("defect"))
     return plain.unionAll(cut)
 
