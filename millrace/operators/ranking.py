@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Ids per bucket where the order is that of an integer id.
-ID_BUCKET = 1 << 16
+ID_BUCKET = 1 << 16  # as in the shift of id_bucket
 
 
 def positions(df: DataFrame, group: list[str], bucket: Column, order: list[Column], rank: str = "k", size: str = "n") -> DataFrame:
@@ -43,4 +43,4 @@ def hash_bucket(digest: Column) -> Column:
 
 def id_bucket(key: Column) -> Column:
     """Buckets of at most :data:`ID_BUCKET` rows in the order of a unique integer key."""
-    return F.floor(key / F.lit(ID_BUCKET))
+    return F.shiftright(key, 16)

@@ -21,13 +21,21 @@ def p2_unified(spark, d) -> DataFrame:
     return schema_drift.unified(table(spark, d, "v1_headers"))
 
 
-@query("p7_found")
+_UNWRAP = lambda x: f"CASE WHEN json_type({x}) = 'VARCHAR' AND json_valid({x} ->> '$') AND left(ltrim({x} ->> '$', ' ' || chr(9) || chr(10) || chr(13)), 1) IN ('{{', '[') THEN CAST({x} ->> '$' AS JSON) ELSE {x} END"
+_TREE = f"""WITH RECURSIVE tree(file_id, v, path, parent, name, item) AS (
+  SELECT file_id, {_UNWRAP("j")}, '', '', '', false FROM (SELECT file_id, CAST(rules AS JSON) AS j FROM v1_rules WHERE json_valid(rules))
+  UNION ALL
+  SELECT p.file_id, {_UNWRAP("e.value")}, p.path || '/' || replace(replace(e.key, '~', '~0'), '/', '~1'), CASE WHEN p.t = 'OBJECT' THEN p.path ELSE p.parent END, e.key, p.t = 'ARRAY'
+  FROM (SELECT *, json_type(v) AS t FROM tree WHERE json_type(v) IN ('OBJECT', 'ARRAY')) p, json_each(p.v) e)"""
+
+
+@query("p7_found", f"{_TREE} SELECT file_id, path AS node_path, parent AS parent_path FROM tree WHERE path <> '' AND (json_type(v) = 'OBJECT' OR item AND json_type(v) NOT IN ('ARRAY', 'NULL'))")
 def p7_found(spark, d) -> DataFrame:
     """Each node of the rule trees with its parent."""
     return shred.nodes(table(spark, d, "v1_rules"), "file_id", "rules").select("file_id", "node_path", "parent_path")
 
 
-@query("p7_fields")
+@query("p7_fields", f"{_TREE} SELECT file_id, parent AS node_path, name, v ->> '$' AS value FROM tree WHERE path <> '' AND NOT item AND json_type(v) NOT IN ('OBJECT', 'ARRAY', 'NULL')")
 def p7_fields(spark, d) -> DataFrame:
     """The scalar fields of each node."""
     return shred.fields(table(spark, d, "v1_rules"), "file_id", "rules")
