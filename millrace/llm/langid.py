@@ -16,7 +16,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import spread
@@ -425,5 +425,3 @@ def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str,
     ddl = f"{key} bigint, field_name string, seg_no int, lang string, confidence double" + ("" if cases_only else ", label string")
     return spread(df.select(F.col(key).cast("bigint").alias(key), *dict.fromkeys([*fields, *fields.values()]))).mapInArrow(run, ddl)
 
-
-__all__ = ["Identifier", "Models", "label", "load_samples", "identifier", "segments", "SparkSession"]

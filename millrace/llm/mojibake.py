@@ -27,13 +27,11 @@ OPERATION, MAX_STATES, MAX_DEPTH = 1.0, 64, 4
 #: Longest piece that is searched as one state; pieces are cut at white space, longer words anywhere.
 PIECE = 400
 
-# Letters of the corpus' eight languages beyond ASCII, and marks of ordinary typography.
-LETTERS = "áàâãäåæçéèêëíìîïñóòôõöœúùûüýÿßŋɛ" + "абвгдежзийклмнопрстуфхцчшщъыьэюяё"
+# Everyday letters of the corpus' eight languages beyond ASCII, and marks of ordinary typography.
+LETTERS = "áàâãäçéèêëíîïñóôõöœúùûüßŋɛ" + "абвгдежзийклмнопрстуфхцчшщъыьэюяё"
 MARKS = "‘’“”„‚«»‹›–—…•¡¿·′″"
 #: Letters that are proper somewhere but not in these languages cost more than these.
-_EVERYDAY = set("áàâãäçéèêëíîïñóôõöœúùûüßŋɛабвгдежзийклмнопрстуфхцчшщъыьэюяё")
-_KNOWN = set(LETTERS) | set(LETTERS.upper()) | {"ẞ"}
-_USUAL = _EVERYDAY | set("".join(_EVERYDAY).upper())
+_USUAL = set(LETTERS) | set(LETTERS.upper())
 
 
 def _bytes_of(encoding: str) -> dict[str, int]:
@@ -105,7 +103,6 @@ UNESCAPE = {"escaped": _Unescape()}
 
 _C1 = re.compile("[\x80-\x84\x86-\x9f]")
 _LOST = "�"
-_SPACES = " \t\r\n"
 
 
 def _kind(c: str) -> str:

@@ -34,8 +34,6 @@ GREEK_LIKE = {
 _LATIN_OF = CYRILLIC_LIKE | GREEK_LIKE
 _CYRILLIC_OF = {v: k for k, v in reversed(list(CYRILLIC_LIKE.items())) if len(v) == 1}
 
-_LIGATURE_EXTRA: set[str] = set()
-
 
 def _is_ligature(c: str) -> bool:
     kind, *parts = ud.decomposition(c).split()
