@@ -10,11 +10,11 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.text import canonical_instruction, first_filled, grammar_name, humanize, identified_category
+from ..functions.text import canonical_instruction, first_filled, grammar_name, identified_category
 from .classify import has_keys
 
 _EDGE = "".join(chr(c) for c in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
@@ -133,5 +133,3 @@ def header_status(has_header: Column, has_metadata: Column) -> Column:
     """``converted`` for a header of its own, ``header-inferred`` for one from metadata or from records."""
     return F.when(has_header, "converted").otherwise("header-inferred")
 
-
-__all__ = ["normalize_record", "normalize_records", "rule_fields", "normalize_rules", "normalize_header", "header_from_metadata", "infer_header", "header_status", "humanize", "Window"]
