@@ -27,7 +27,7 @@ ORDER = 5
 SAMPLES = 5_000
 #: Fewest words of a run in one language, and of a text that is looked at.
 RUN = 4
-#: Cost in nats of changing the language between two words, and after a mark of punctuation.
+#: Cost in nats of changing the language between two words, and where a mark of punctuation stands between them.
 SWITCH, SWITCH_AT_MARK = 20.0, 12.0
 UNDETERMINED = "und"
 #: Words that are segmented at once.
@@ -208,7 +208,7 @@ class Identifier:
         self._ids: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.languages)))
         self.sizes = np.zeros(0)  # letters and one boundary, 0 for a token without letters
-        self.marks = np.zeros(0, dtype=bool)
+        self.marks = np.zeros((0, 2), dtype=bool)  # a mark begins, ends the token
 
     @property
     def languages(self) -> list[str]:
@@ -248,7 +248,7 @@ class Identifier:
             row = {w: i for i, w in enumerate(distinct)}
             self.scores = np.concatenate([self.scores, self.models.score(distinct)[[row[w] for w in words]]])
             self.sizes = np.concatenate([self.sizes, [len(w) + 1.0 if w else 0.0 for w in words]])
-            self.marks = np.concatenate([self.marks, [_ends(t) for t in new]])
+            self.marks = np.concatenate([self.marks, [(not t[0].isalnum(), _ends(t)) for t in new]])
             for t in new:
                 ids[t] = len(ids)
         return np.fromiter(map(ids.__getitem__, tokens), dtype=np.int64, count=len(tokens))
@@ -324,7 +324,9 @@ class Identifier:
         scores = np.zeros((len(parts), width, len(self.languages)))
         scores[rows, cols] = self.scores[ids]
         marks = np.zeros((len(parts), width), dtype=bool)
-        marks[rows, cols] = self.marks[ids]
+        marks[rows, cols] = self.marks[ids, 1]
+        opens = np.flatnonzero(self.marks[ids, 0] & (cols > 0))
+        marks[rows[opens], cols[opens] - 1] = True
         sizes = np.zeros((len(parts), width))
         sizes[rows, cols] = self.sizes[ids]
         paths = self._paths(scores, marks, lengths)
