@@ -61,6 +61,12 @@ def p8_ids(spark, d):
     return encode.encode(table(spark, d, "documents"))
 
 
+@query
+def p8_decoded(spark, d):
+    """The texts that the ids stand for: an exact round trip."""
+    return encode.decode(encode.encode(table(spark, d, "documents")))
+
+
 def _items(spark, d):
     return stage(packing.pieces(encode.token_counts(table(spark, d, "documents"))))  # read twice: histogram, assignment
 

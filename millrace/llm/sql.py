@@ -11,6 +11,7 @@ _GROUPED = f"""SELECT rec_id, min(rec_id) OVER (PARTITION BY ci, cn, co) AS keep
   SELECT rec_id, {_CANON("instruction")} AS ci, {_CANON("input")} AS cn, {_CANON("output")} AS co FROM ({_RECORDS}))"""
 
 SQL = {
+    "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p1_found": f"SELECT keep_id, rec_id AS dup_id FROM ({_GROUPED}) WHERE rec_id <> keep_id",
     "p1_groups": f"SELECT keep_id, count(*) AS n_copies FROM ({_GROUPED}) GROUP BY 1",
 }
