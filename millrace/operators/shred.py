@@ -240,6 +240,37 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
 
+def table_name(node_path_steps: list[tuple[str, bool]], open_under: tuple[str, ...]) -> str:
+    """The table of a node: its path with list positions as ``[]`` and, below the root and the keys in
+    ``open_under``, keys that are names of things rather than of fields as ``*``."""
+    out, above = [], ""
+    for step, is_item in node_path_steps:
+        out.append("[]" if is_item else "*" if above in open_under else step)
+        above = step if not is_item else above if above not in open_under else "[]"
+    return "/" + "/".join(out)
+
+
+def tables(df: DataFrame, key: str, text: str, open_under: tuple[str, ...] = ("", "sub_rules")) -> DataFrame:
+    """``key, table_name, node_path, parent_path, fields``: every node as a row of its flat table.
+
+    ``fields`` maps the names of the scalars that the node holds by key to their values (an item of a
+    list that is a scalar itself has the one field ``''``).  Rows of a table link to those of its parent
+    table by ``parent_path``; ``where(table_name = ...)`` gives one table.
+    """
+    schema = pa.schema([(key, pa.int64()), ("table_name", pa.string()), ("node_path", pa.string()), ("parent_path", pa.string()), ("fields", pa.map_(pa.string(), pa.string()))])
+
+    def build(columns):
+        nodes, scalars = assemble(columns)
+        held: dict[str, dict[str, str | None]] = {}
+        for path, name, value in scalars:
+            held.setdefault(path, {})[_spell(name)] = _spell(value)
+        for path, (parent, table, value) in nodes.items():
+            steps = [(a, b == "[]") for a, b in zip(path.split("/")[1:], table.split("/")[1:])]
+            yield _spell(table_name(steps, open_under)), _spell(path), _spell(parent), list((held.get(path, {}) if value is None else {"": _spell(value)}).items())
+
+    return df.select(F.col(key).cast("bigint"), text).mapInArrow(lambda it: _records(it, pa.int64(), build, schema), f"{key} bigint, table_name string, node_path string, parent_path string, fields map<string,string>")
+
+
 def levels(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key, leaf_path, entry_no, repetition, definition, value``: the shredded columns of each record."""
     schema = pa.schema([(key, pa.int64()), ("leaf_path", pa.string()), ("entry_no", pa.int32()), ("repetition", pa.int32()), ("definition", pa.int32()), ("value", pa.string())])

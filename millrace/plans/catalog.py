@@ -15,6 +15,7 @@ from ..functions import constants as K
 from ..functions import text as X
 from ..operators import augment, chat, classify, dedup, metrics, normalize, report, split, validate
 from ..sources.files import to_jsonl
+from ..sources.staging import stage
 from ..sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -296,7 +297,7 @@ def _(spark, d):
 
 @query("seeded_shuffle", f"SELECT rec_id, split, row_number() OVER (PARTITION BY split ORDER BY {_H}, rec_id) AS rank FROM ({_SPLIT})")
 def _(spark, d):
-    return split.seeded_shuffle(_split(spark, d).select("rec_id", "split"), "rec_id", ["split"])
+    return split.seeded_shuffle(stage(_split(spark, d).select("rec_id", "split")), "rec_id", ["split"])  # ranking reads its input twice
 
 
 @query("split_summary", f"SELECT split, n, round(n * 100.0 / sum(n) OVER (), 1) AS pct FROM (SELECT split, count(*) AS n FROM ({_SPLIT}) GROUP BY 1)")

@@ -55,7 +55,8 @@ def run(spark: SparkSession, root: str, out_dir: str | None = None, seed: int =
     paths, primary, everything = load(spark, root, augment_rules)
     order = [F.col("_source"), F.col("phase"), F.col("ordinal")]
     kept = dedup.keep_first(everything, order).withColumn("rid", F.concat_ws("\u0000", "_source", F.col("phase").cast("string"), F.col("ordinal").cast("string")))
-    labelled = split.stratified_split(kept, ["_source", "_itype"], "rid", seed)
+    # Ranking reads its input twice (rows, bucket sizes), so what it ranks is staged.
+    labelled = stage(split.stratified_split(stage(kept), ["_source", "_itype"], "rid", seed))
     done = stage(split.seeded_shuffle(labelled, "rid", ["split"], seed))
     valid: dict[str, int] = {}
     if out_dir:

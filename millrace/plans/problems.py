@@ -45,3 +45,9 @@ def p7_fields(spark, d) -> DataFrame:
 def p7_levels(spark, d) -> DataFrame:
     """The shredded columns themselves."""
     return shred.levels(table(spark, d, "v1_rules"), "file_id", "rules")
+
+
+@query("p7_tables")
+def p7_tables(spark, d) -> DataFrame:
+    """Each node as a row of its flat table."""
+    return shred.tables(table(spark, d, "v1_rules"), "file_id", "rules")

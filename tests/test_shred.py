@@ -63,6 +63,16 @@ def test_table(spark, rows):
     assert S.nodes(df.limit(0), "file_id", "rules").count() == 0 and S.levels(df, "file_id", "rules").count() == 10
 
 
+def test_tables(spark):
+    text = '{"rule a": {"function": "f", "examples": [{"input": "x", "tags": ["t", "u"]}, {"input": "y"}], "sub_rules": {"s": {"function": "g"}}}, "rule b": {"n": 1}}'
+    got = S.tables(spark.createDataFrame([(1, text), (2, None), (3, '[{"a": null}]')], "id bigint, t string"), "id", "t")
+    rows = {(r.id, r.node_path): (r.table_name, r.parent_path, r.fields) for r in got.collect()}
+    assert rows[1, "/rule a"] == ("/*", "", {"function": "f"}) and rows[1, "/rule b"] == ("/*", "", {"n": "1"})
+    assert rows[1, "/rule a/examples/0"] == ("/*/examples/[]", "/rule a", {"input": "x"}) and rows[1, "/rule a/examples/0/tags/1"] == ("/*/examples/[]/tags/[]", "/rule a/examples/0", {"": "u"})
+    assert rows[1, "/rule a/sub_rules"] == ("/*/sub_rules", "/rule a", {}) and rows[1, "/rule a/sub_rules/s"] == ("/*/sub_rules/*", "/rule a/sub_rules", {"function": "g"})
+    assert rows[3, "/0"] == ("/[]", "", {}) and len(rows) == 9
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/v1_rules.parquet"), reason="no tables")
 def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/v1_rules.parquet")
