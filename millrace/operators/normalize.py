@@ -15,11 +15,33 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.text import canonical_instruction, first_filled, grammar_name, identified_category
-from .classify import has_keys
 
 _EDGE = "".join(chr(c) for c in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
 
 
+_SHAPE_KEYS = [*K.RECORD_KEYS, "balanda", "english", "type", "source", "target"]
+
+
+def _has(keys: Column, *wanted: str) -> Column:
+    return F.coalesce(F.size(F.array_intersect(keys, F.array(*[F.lit(k) for k in wanted]))) == len(wanted), F.lit(False))
+
+
+def _shape(keys: Column, kind: Column) -> Column:
+    """Which shape an object with these keys and this ``type`` has: 1 record, 2 language pair, 3 translation pair, else NULL."""
+    return F.when(_has(keys, "instruction", "output"), 1).when(_has(keys, "balanda", "english"), 2).when((kind == "translation_pair") & _has(keys, "source", "target"), 3)
+
+
+def _record(shape: Column, keys: Column, value) -> Column:
+    """The record of an object of a known shape."""
+    rec = lambda i, a, b: F.struct(i.alias("instruction"), a.alias("input"), b.alias("output"))
+    own = rec(canonical_instruction(value("instruction")), F.when(_has(keys, "input"), value("input")).otherwise(""), value("output"))
+    return (
+        F.when(shape == 1, own)
+        .when(shape == 2, rec(F.lit(K.B2E), value("balanda"), value("english")))
+        .when(shape == 3, rec(F.lit(K.B2E), value("source"), value("target")))
+    )
+
+
 def normalize_record(obj: Column) -> Column:
     """``struct<instruction,input,output>`` of a JSON object of any known shape, NULL for any other.
 
@@ -27,19 +49,20 @@ def normalize_record(obj: Column) -> Column:
     and english; a translation pair with source and target.  Only the first two have their
     instruction made canonical.  Values that are no strings come out as their JSON text, null as NULL.
     """
-    get = lambda k: F.get_json_object(obj, f"$.{k}")
-    rec = lambda i, a, b: F.struct(i.alias("instruction"), a.alias("input"), b.alias("output"))
-    return (
-        F.when(has_keys(obj, K.RECORD_KEYS), rec(canonical_instruction(get("instruction")), get("input"), get("output")))
-        .when(has_keys(obj, ["instruction", "output"]), rec(canonical_instruction(get("instruction")), F.lit(""), get("output")))
-        .when(has_keys(obj, ["balanda", "english"]), rec(F.lit(K.B2E), get("balanda"), get("english")))
-        .when((get("type") == "translation_pair") & has_keys(obj, ["source", "target"]), rec(F.lit(K.B2E), get("source"), get("target")))
-    )
+    keys, value = F.json_object_keys(obj), lambda k: F.get_json_object(obj, f"$.{k}")
+    return _record(_shape(keys, value("type")), keys, value)
 
 
 def normalize_records(objects: DataFrame, keep: list[str], obj: str = "obj") -> DataFrame:
-    """``keep, instruction, input, output`` of the objects that have a known shape."""
-    return objects.select(*keep, normalize_record(F.col(obj)).alias("__r")).where("__r IS NOT NULL").select(*keep, *[f"__r.{k}" for k in K.RECORD_KEYS])
+    """``keep, instruction, input, output`` of the objects that have a known shape (see :func:`normalize_record`).
+
+    Objects are parsed once for their values; the filter on the shape, which Catalyst moves below that,
+    needs their keys and type only.
+    """
+    parsed = objects.select(*keep, F.json_object_keys(obj).alias("__k"), F.from_json(obj, ", ".join(f"`{k}` string" for k in _SHAPE_KEYS)).alias("__o"))
+    known = parsed.withColumn("__s", _shape(F.col("__k"), F.col("__o.type"))).where("__s IS NOT NULL")
+    shaped = known.select(*keep, _record(F.col("__s"), F.col("__k"), lambda k: F.col(f"__o.{k}")).alias("__r"))
+    return shaped.select(*keep, *[f"__r.{k}" for k in K.RECORD_KEYS])
 
 
 def _scalar(v: object) -> str:
