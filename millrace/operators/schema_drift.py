@@ -371,42 +371,58 @@ def changes(headers: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def unified(headers: DataFrame, block: int = BLOCK) -> DataFrame:
-    """All revisions in one schema: ``file_id, rev_no, instruction_type, grammar_name, description, rules, extra``.
+    """All revisions in one schema: ``file_id, rev_no, instruction_type, grammar_name, description, rules, extra, lists``.
 
     Each field feeds the column that its correspondences lead back to; values are cast to text (lists
-    and objects as JSON, a list of strings by its first item).  ``rules`` is a map of rule name to
-    ``function, structure, notes`` and the rest as JSON; fields without a column go to ``extra``.
+    and objects as JSON, a list of strings by its first item, the whole list then being in ``lists``).
+    ``rules`` is a map of rule name to ``function, structure, notes``, the rest as JSON and, as JSON,
+    the ``lists``; fields without a column go to ``extra``.  A name that is taken gets a number, so
+    that each value of a header is somewhere in its row.
     """
-    rule = pa.struct([("function", pa.string()), ("structure", pa.string()), ("notes", pa.string()), ("extra", pa.string())])
-    schema = pa.schema([("file_id", pa.int64()), ("rev_no", pa.int64()), ("instruction_type", pa.string()), ("grammar_name", pa.string()), ("description", pa.string()), ("rules", pa.map_(pa.string(), rule)), ("extra", pa.map_(pa.string(), pa.string()))])
-    ddl = "file_id bigint, rev_no bigint, instruction_type string, grammar_name string, description string, rules map<string, struct<function: string, structure: string, notes: string, extra: string>>, extra map<string, string>"
+    rule = pa.struct([(c, pa.string()) for c in ("function", "structure", "notes", "extra", "lists")])
+    texts = pa.map_(pa.string(), pa.string())
+    schema = pa.schema([("file_id", pa.int64()), ("rev_no", pa.int64()), ("instruction_type", pa.string()), ("grammar_name", pa.string()), ("description", pa.string()), ("rules", pa.map_(pa.string(), rule)), ("extra", texts), ("lists", texts)])
+    ddl = "file_id bigint, rev_no bigint, instruction_type string, grammar_name string, description string, rules map<string, struct<function: string, structure: string, notes: string, extra: string, lists: string>>, extra map<string, string>, lists map<string, string>"
 
     def text(v):
-        if v is None or isinstance(v, str):
-            s = v
-        elif isinstance(v, list) and v and all(isinstance(x, str) for x in v):
-            s = v[0]
-        else:
-            s = json.dumps(v, ensure_ascii=False)
+        s = v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
         return s if s is None else s.encode("utf-8", "replace").decode("utf-8")
 
+    def cell(v, column, lists):
+        """The text of a value in its column; a list of strings is kept in ``lists``."""
+        if isinstance(v, list) and v and all(isinstance(x, str) for x in v):
+            lists[column] = v
+            return text(v[0])
+        return text(v)
+
+    def put(into, taken, name, v):
+        to = name
+        while to in into:
+            taken[name] = taken.get(name, 1) + 1
+            to = f"{name}#{taken[name]}"
+        into[to] = v
+
     def emit(f, r, header, state, found):
         box = rule_container(header)
-        top, extra = {}, {}
+        top, extra, lists, taken = {}, {}, {}, {}
         for k, v in header.items():
             to = state["alias"].get(k, k)
-            if k != box:
-                (top if to in BASE_FIELDS and to != "rules" and to not in top else extra)[to] = text(v)
-        rules = {}
+            if k == box and (v is None or isinstance(v, (dict, list))):
+                continue
+            if to in BASE_FIELDS and to != "rules" and to not in top:
+                top[to] = cell(v, to, lists)
+            else:
+                put(extra, taken, text(to), text(v))
+        rules, used = {}, {}
         for n, (name, e) in enumerate(entries_of(header)):
-            cols, rest = {}, {}
+            cols, rest, more, again = {}, {}, {}, {}
             for k, v in (e.items() if isinstance(e, dict) else [("structure", e)]):
                 to = (state["ralias"] or {}).get(k, k)
                 if to in BASE_RULE_FIELDS and to not in cols:
-                    cols[to] = text(v)
-                elif to != "name":
-                    rest[to] = v
-            rules[text(name if name is not None else f"#{n}")] = {**{c: cols.get(c) for c in BASE_RULE_FIELDS}, "extra": text(rest) if rest else None}
-        yield f, r, top.get("instruction_type"), top.get("grammar_name"), top.get("description"), list(rules.items()), list({text(k): v for k, v in extra.items()}.items())
+                    cols[to] = cell(v, to, more)
+                elif k != "name" or name is None or isinstance(header[box], dict):  # in a list it is the rule's name
+                    put(rest, again, to, v)
+            put(rules, used, text(name if name is not None else f"#{n}"), {**{c: cols.get(c) for c in BASE_RULE_FIELDS}, "extra": text(rest) if rest else None, "lists": text(more) if more else None})
+        yield f, r, top.get("instruction_type"), top.get("grammar_name"), top.get("description"), list(rules.items()), list(extra.items()), [(k, text(v)) for k, v in lists.items()]
 
     return _walk(headers, emit, schema, ddl, block)

@@ -148,6 +148,25 @@ def test_unified(spark):
     assert got[1].rules["r"].function == "f" and got[2].rules["r"].function == "f" and got[2].rules["r"].structure == "s" and got[2].rules["r"].extra == '{"more": 1}' and got[2].rules["#1"].structure == "plain"
 
 
+def test_unified_loses_no_value(spark):
+    entries = [
+        {"name": "r", "function": ["f1", "f2"], "structure": ["only"], "since": ["x", "y"]}, {"name": "r", "function": "g"}, {"name": 5, "notes": "n"}, ["p1", "p2"],
+        {"name": "r", "notes": None, "structure": "z"},
+    ]
+    h1 = {"grammar_name": ["g1", "g2"], "tags": ["a", "b"], "rules": entries}
+    h2 = {"grammar_name": "g", "rules": {"k": {"name": "own", "function": "f"}}}
+    h3 = {"rules": "none yet", "description": ["d1", "d2", "d3"]}
+    got = {r.file_id: r for r in S.unified(frame(spark, [(1, 1, h1), (2, 1, h2), (3, 1, h3)])).collect()}
+    one = got[1]
+    assert one.grammar_name == "g1" and one.lists == {"grammar_name": '["g1", "g2"]'} and one.extra == {"tags": '["a", "b"]'}
+    assert sorted(one.rules) == ["#2", "#3", "r", "r#2", "r#3"] and one.rules["r#2"].function == "g" and one.rules["r#3"].structure == "z"
+    first = one.rules["r"]
+    assert first.function == "f1" and json.loads(first.lists) == {"function": ["f1", "f2"], "structure": ["only"]} and json.loads(first.extra) == {"since": ["x", "y"]}
+    assert json.loads(one.rules["#2"].extra) == {"name": 5} and json.loads(one.rules["#3"].lists) == {"structure": ["p1", "p2"]}
+    assert json.loads(got[2].rules["k"].extra) == {"name": "own"} and got[2].lists == {}
+    assert got[3].extra == {"rules": "none yet"} and got[3].lists == {"description": '["d1", "d2", "d3"]'}
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/v1_headers.parquet"), reason="no tables")
 def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/v1_headers.parquet")
