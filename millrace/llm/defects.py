@@ -30,6 +30,9 @@ ORDER = ["empty", "refusal", "copy", "other_language", "truncated"]
 LEAST_END_SHARE, CHANCE = 0.01, 0.001
 #: Words that a copy may have beyond input and instruction (a label such as "Question:").
 SLACK = 1
+#: Nats by which an answer of fewer than four words must speak against the language asked for: no word of 1,841 held-out
+#: ones had more than 12.5 against its own.
+FOREIGN = 14.0
 #: Counted words that a task holds before it passes them on.
 FLUSH = 200_000
 
@@ -224,7 +227,7 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
                     out.append((k, "refusal", None, None))
                 if is_copy(words, norm(a), norm(o), one_word):
                     out.append((k, "copy", None, None))
-                if wanted and segs and all(s[2] not in (wanted, langid.UNDETERMINED) for s in segs):
+                if wanted and (all(s[2] not in (wanted, langid.UNDETERMINED) for s in segs) if segs else ident.against(o, wanted) >= FOREIGN):
                     out.append((k, "other_language", None, None))
                 t = o if o.isascii() else clean(o)
                 how = "no" if one_word else breaks_off(t)

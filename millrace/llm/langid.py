@@ -25,7 +25,7 @@ from .skeleton import clean
 ORDER = 5
 #: Labelled sentences per language that the models are fitted on at most (a documented bound; the table is small).
 SAMPLES = 5_000
-#: Fewest words of a run in one language, and of a text that is looked at.
+#: Fewest words of a run in one language, and of a text that can be a case.
 RUN = 4
 #: Cost in nats of changing the language between two words, and where a mark of punctuation stands between them.
 SWITCH, SWITCH_AT_MARK = 20.0, 12.0
@@ -200,7 +200,7 @@ class Identifier:
             held[lang] = [t for i, t in enumerate(texts) if i % 5 == 0]
             rest[lang] = [t for i, t in enumerate(texts) if i % 5] or texts
         self.models = Models(rest, order)
-        self.temperature, self.limit = self._calibrate(held)
+        self.temperatures, self.limits = self._calibrate(held)
         self.models = Models(samples, order)
         self.forget()
 
@@ -214,27 +214,36 @@ class Identifier:
     def languages(self) -> list[str]:
         return self.models.languages
 
-    def _calibrate(self, held: dict[str, list[str]]) -> tuple[float, float]:
+    def _calibrate(self, held: dict[str, list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The temperature with the best held-out likelihood, and the limit of rejection: halfway between the worst
-        entropy of held-out sentences under their own language and that of random letters."""
-        mean, truth = [], []
+        entropy of held-out sentences under their own language and that of random letters.
+
+        At n below :data:`RUN` both are those of n words in a row, at :data:`RUN` those of whole sentences.
+        """
+        mean, truth = [[] for _ in range(RUN + 1)], [[] for _ in range(RUN + 1)]
         for k, lang in enumerate(self.languages):
             for t in held[lang]:
                 w = [x for x in map(letters_of, clean(t).split()) if x]
                 if w:
-                    mean.append(self.models.score(w).sum(axis=0) / sum(len(x) + 1 for x in w))
-                    truth.append(k)
-        if not mean or len(self.languages) < 2:
-            return 1.0, np.inf
-        m, y = np.array(mean), np.array(truth)
-        best = (np.inf, 1.0)
-        for temp in np.geomspace(0.05, 2, 40):
-            z = m / temp
-            z = z - z.max(axis=1, keepdims=True)
-            nll = -(z[np.arange(len(y)), y] - np.log(np.exp(z).sum(axis=1))).mean()
-            best = min(best, (nll, temp))
-        own = -m[np.arange(len(y)), y]
-        return float(best[1]), float((own.max() - np.log(self.models.floor)) / 2)
+                    score, size = self.models.score(w), np.array([len(x) + 1 for x in w])
+                    for n in range(1, RUN + 1):
+                        spans = [(0, len(w))] if n == RUN else [(i, i + n) for i in range(0, len(w) - n + 1, n)]
+                        mean[n] += [score[a:b].sum(axis=0) / size[a:b].sum() for a, b in spans]
+                        truth[n] += [k] * len(spans)
+        temperatures, limits = np.ones(RUN + 1), np.full(RUN + 1, np.inf)
+        for n in range(1, RUN + 1):
+            if not mean[n] or len(self.languages) < 2:
+                continue
+            m, y = np.array(mean[n]), np.array(truth[n])
+            best = (np.inf, 1.0)
+            for temp in np.geomspace(0.05, 2, 40):
+                z = m / temp
+                z = z - z.max(axis=1, keepdims=True)
+                nll = -(z[np.arange(len(y)), y] - np.log(np.exp(z).sum(axis=1))).mean()
+                best = min(best, (nll, temp))
+            own = -m[np.arange(len(y)), y]
+            temperatures[n], limits[n] = best[1], (own.max() - np.log(self.models.floor)) / 2
+        return temperatures, limits
 
     def token_ids(self, tokens: list[str]) -> np.ndarray:
         """Rows of ``scores``, ``sizes`` and ``marks``; new tokens are scored together."""
@@ -253,6 +262,15 @@ class Identifier:
                 ids[t] = len(ids)
         return np.fromiter(map(ids.__getitem__, tokens), dtype=np.int64, count=len(tokens))
 
+    def against(self, text: str, lang: str) -> float:
+        """Nats by which a text speaks for its likeliest language rather than for ``lang``; 0 if it has no words."""
+        words = clean(text).split()
+        if not words or lang not in self.languages:
+            return 0.0
+        ids = self.token_ids(words)
+        total = self.scores[ids].sum(axis=0)
+        return float(total.max() - total[self.languages.index(lang)])
+
     def _paths(self, scores: np.ndarray, marks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The cheapest language of each word of each text: Viterbi over ``[texts, words, languages]`` at once."""
         t, w, k = scores.shape
@@ -272,10 +290,10 @@ class Identifier:
             state = back[i][every, state]
         return out
 
-    def segments(self, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
+    def segments(self, texts: list[str | None], least: int = RUN) -> list[list[tuple[int, int, str, float]]]:
         """As :meth:`_segments`; texts of more than :data:`LONG` words go through in blocks, whose runs are joined."""
         plain = [None if t and len(t) > 2 * LONG and len(t.split()) > LONG else t for t in texts]
-        out = self._segments(plain)
+        out = self._segments(plain, least)
         for n, (t, p) in enumerate(zip(texts, plain)):
             if t is not p:
                 w = clean(t).split()
@@ -292,24 +310,24 @@ class Identifier:
                 out[n] = [tuple(r) for r in runs]
         return out
 
-    def _segments(self, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
+    def _segments(self, texts: list[str | None], least: int = RUN) -> list[list[tuple[int, int, str, float]]]:
         """For each text its runs ``(first word, last word + 1, language, confidence)``.
 
-        Runs of fewer than :data:`RUN` words with letters join a neighbour; a text of one language is one
-        run.  NULL and texts of fewer than :data:`RUN` words give none.
+        Runs of fewer than :data:`RUN` words with letters join a neighbour; a text of one language, or of
+        fewer than :data:`RUN` words, is one run.  NULL and texts of fewer than ``least`` words give none.
         """
         out: list[list] = [[] for _ in texts]
         parts: list[tuple[int, list[str]]] = []
         for n, t in enumerate(texts):
             if t:
                 w = t.split() if t.isascii() else clean(t).split()
-                if len(w) >= RUN:
+                if len(w) >= max(least, 1):
                     parts.append((n, w))
         parts.sort(key=lambda p: len(p[1]))
         i = 0
         while i < len(parts):
-            j, least = i, len(parts[i][1])
-            while j < len(parts) and j < i + 4_000 and len(parts[j][1]) <= 8 + least * 5 // 4 and (j + 1 - i) * len(parts[j][1]) <= 200_000 or j == i:
+            j, first = i, len(parts[i][1])
+            while j < len(parts) and j < i + 4_000 and len(parts[j][1]) <= 8 + first * 5 // 4 and (j + 1 - i) * len(parts[j][1]) <= 200_000 or j == i:
                 j += 1
             self._batch(parts[i:j], out)
             i = j
@@ -332,8 +350,11 @@ class Identifier:
         paths = self._paths(scores, marks, lengths)
         changes = np.zeros((len(parts), width), dtype=bool)
         changes[:, 1:] = (paths[:, 1:] != paths[:, :-1]) & (np.arange(1, width) < lengths[:, None])
+        few = lengths < RUN
+        changes[few] = False
         one = ~changes.any(axis=1)
-        langs, confs = self._judge(scores.sum(axis=1), sizes.sum(axis=1), paths[:, 0])
+        total = scores.sum(axis=1)
+        langs, confs = self._judge(total, sizes.sum(axis=1), np.where(few, total.argmax(axis=1), paths[:, 0]), np.where(few, (sizes > 0).sum(axis=1), RUN))
         for r, (n, words) in enumerate(parts):
             if one[r]:
                 out[n].append((0, len(words), langs[r], confs[r]))
@@ -344,12 +365,12 @@ class Identifier:
                 for (a, b, _), lang, conf in zip(runs, *self._judge(total, size, np.array([k for _, _, k in runs]))):
                     out[n].append((a, b, lang, conf))
 
-    def _judge(self, total: np.ndarray, size: np.ndarray, chosen: np.ndarray) -> tuple[list[str], list[float]]:
-        """Language and confidence from summed log-probabilities and sizes."""
+    def _judge(self, total: np.ndarray, size: np.ndarray, chosen: np.ndarray, words: np.ndarray | int = RUN) -> tuple[list[str], list[float]]:
+        """Language and confidence from summed log-probabilities and sizes; ``words`` chooses the calibration."""
         mean = total / np.maximum(size, 1)[:, None]
         own = mean[np.arange(len(mean)), chosen]
-        conf = 1.0 / np.exp((mean - own[:, None]) / self.temperature).sum(axis=1)
-        known = (size > 0) & (-own <= self.limit)
+        conf = 1.0 / np.exp((mean - own[:, None]) / np.broadcast_to(self.temperatures[words], len(mean))[:, None]).sum(axis=1)
+        known = (size > 0) & (-own <= self.limits[words])
         return [self.languages[k] if ok else UNDETERMINED for k, ok in zip(chosen.tolist(), known.tolist())], np.where(size > 0, conf, 0.0).tolist()
 
     def _runs(self, path: np.ndarray, cuts: list[int], scores: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
@@ -396,8 +417,8 @@ def identifier(samples: dict[str, list[str]]) -> Identifier:
     return _ready[key]
 
 
-def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str, list[str]], cases_only: bool = False) -> DataFrame:
-    """``key, field_name, seg_no, lang, confidence`` (and ``label`` unless ``cases_only``) of each text of four or more words.
+def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str, list[str]], cases_only: bool = False, least: int = RUN) -> DataFrame:
+    """``key, field_name, seg_no, lang, confidence`` (and ``label`` unless ``cases_only``) of each text of ``least`` or more words.
 
     ``fields`` maps text columns to their label columns.  A text of several languages gives one row for
     each run; with ``cases_only``, texts of one language only where their label is missing or wrong, and
@@ -412,7 +433,7 @@ def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str,
             out: list[tuple] = []
             for field, lab in fields.items():
                 labels = b.column(lab).to_pylist()
-                for k, said, segs in zip(keys, labels, ident.segments(b.column(field).to_pylist())):
+                for k, said, segs in zip(keys, labels, ident.segments(b.column(field).to_pylist(), least)):
                     if not segs:
                         continue
                     if cases_only:

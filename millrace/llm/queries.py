@@ -116,8 +116,8 @@ def p4_found(spark, d):
 
 @query
 def p4_segments(spark, d):
-    """The language of every text of four or more words, run by run, with a confidence."""
-    return langid.segments(table(spark, d, "train"), "rec_id", _LABELLED, _samples(spark, d))
+    """The language of every text that has words, run by run, with a confidence."""
+    return langid.segments(table(spark, d, "train"), "rec_id", _LABELLED, _samples(spark, d), least=1)
 
 
 @query

@@ -77,6 +77,13 @@ def test_found(spark):
     assert D.found(df.limit(0), SAMPLES).count() == 0
 
 
+def test_answers_of_few_words_in_another_language(spark):
+    noun = "Identify the Balanda noun"
+    data = [(1, noun, "kpɛn naŋ tsaŋ", "корзину"), (2, noun, "kpɛn naŋ tsaŋ", "kpɛn"), (3, B2E, "kpɛn naŋ", "la cesta pesada"), (4, B2E, "kpɛn naŋ", "the heavy basket."), (5, noun, "kpɛn rain tsaŋ", "77"), (6, B2E, "kpɛn", "no")]
+    df = spark.createDataFrame(data, "rec_id bigint, instruction string, input string, output string")
+    assert sorted((r.rec_id, r.defect) for r in D.defects(df, SAMPLES).collect() if r.defect == "other_language") == [(1, "other_language"), (3, "other_language")]
+
+
 def test_word_endings(spark):
     df = spark.createDataFrame([("a cat. a dog! the cat", None), ("the cat.", "ŋgɛ cat"), ("", "  ")], "x string, y string")
     got = {(r.own, r.word): (r.ends, r.inside) for r in D.word_endings(df.repartition(3), ["x", "y"]).collect()}

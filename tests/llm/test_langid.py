@@ -86,6 +86,26 @@ def test_table(spark, rows):
     assert L.segments(df.limit(0), "rec_id", {"input": "il"}, SAMPLES).count() == 0
 
 
+def test_texts_of_few_words(ident):
+    got = ident.segments(["hunter", "la cesta pesada", "Старый охотник!", "kpɛn", "7 + 7", "", None, "  ", "hunter. дверь", "qxzj"], least=1)
+    assert [[x[2] for x in s] for s in got[:4]] == [["en"], ["es"], ["ru"], ["bld"]] and all(0 < s[0][3] <= 1 for s in got[:4])
+    assert got[4] == [(0, 3, "und", 0.0)] and got[5:8] == [[], [], []] and len(got[8]) == 1 and got[9][0][2] == "und"
+    whole = [sentences(k, 1, seed=8)[0] for k in WORDS]
+    assert ident.segments(whole, least=1) == ident.segments(whole)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001/train.parquet"), reason="no tables")
+def test_every_text_with_letters_has_a_language(spark):
+    from millrace.llm import queries as Q
+
+    d = "/root/testdata/sf0.001"
+    t = spark.read.parquet(f"{d}/train.parquet")
+    texts = t.select("rec_id", F.lit("input").alias("field_name"), F.col("input").alias("t")).unionAll(t.select("rec_id", F.lit("output"), "output")).where(r"t RLIKE '\\p{L}'")
+    assert texts.join(Q.QUERIES["p4_segments"](spark, d), ["rec_id", "field_name"], "left_anti").count() == 0
+    few = Q.QUERIES["p4_found"](spark, d).join(texts, ["rec_id", "field_name"]).where(r"size(split(trim(t), '\\s+')) < 4")
+    assert few.count() == 0
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001/lang_samples.parquet"), reason="no tables")
 def test_accuracy_on_held_out_samples(spark):
     samples = L.load_samples(spark.read.parquet("/root/testdata/sf0.001/lang_samples.parquet"))
