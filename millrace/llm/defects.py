@@ -28,6 +28,8 @@ ORDER = ["empty", "refusal", "copy", "other_language", "truncated"]
 #: A text that ends with a word breaks off if less than this share of the word's occurrences end a sentence, and if so few
 #: would be seen by chance, at the usual share of words that do end sentences, with a probability of less than CHANCE.
 LEAST_END_SHARE, CHANCE = 0.01, 0.001
+#: The words of a language say whether a text breaks off if at least this share of the words of all outputs is in it.
+COUNTED_SHARE = 0.05
 #: Words that a copy may have beyond input and instruction (a label such as "Question:").
 SLACK = 1
 #: Nats by which an answer of fewer than four words must speak against the language asked for: no word of 1,841 held-out
@@ -155,6 +157,11 @@ def breaks_off(text: str) -> str | None:
     return word
 
 
+def cut_from(inp: list[str], output: list[str]) -> bool:
+    """The last word of an answer that is picked from the input is the beginning of words there and no word itself."""
+    return bool(output) and output[-1] not in inp and any(w.startswith(output[-1]) for w in inp)
+
+
 # ---- corpus counts --------------------------------------------------------------------------------------------------
 
 
@@ -203,8 +210,12 @@ def word_endings(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
-    """``key, defect, own, word``: what each row shows by itself; ``defect`` NULL: the word decides whether it breaks off."""
-    schema = pa.schema([(key, pa.int64()), ("defect", pa.string()), ("own", pa.bool_()), ("word", pa.string())])
+    """``key, defect, own, word, lang, n``: what each row shows by itself; ``defect`` NULL: the word decides whether it breaks off.
+
+    ``lang``: the language of the last run, NULL in texts of few words.  Rows with ``n`` are no pairs, but count the
+    words of outputs in ``lang``.
+    """
+    schema = pa.schema([(key, pa.int64()), ("defect", pa.string()), ("own", pa.bool_()), ("word", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
 
     def run(batches):
         ident = langid.identifier(samples)
@@ -213,9 +224,13 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
             out: list[tuple] = []
             spoken = ident.segments(outputs)
             asked: dict[str | None, tuple] = {}
+            heard = Counter()
+            for segs in spoken:
+                for a, z, lang, _ in segs:
+                    heard[lang] += z - a
             for k, i, a, o, segs in zip(keys, instructions, inputs, outputs, spoken):
                 if is_empty(o, a):
-                    out.append((k, "empty", None, None))
+                    out.append((k, "empty", None, None, None, None))
                     continue
                 if i not in asked:
                     if len(asked) > 10_000:
@@ -224,23 +239,24 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
                     asked[i] = w, expected_language(i), bool(w) and w[0] == "identify"
                 words, wanted, one_word = asked[i]
                 if is_refusal(o):
-                    out.append((k, "refusal", None, None))
+                    out.append((k, "refusal", None, None, None, None))
                 if is_copy(words, norm(a), norm(o), one_word):
-                    out.append((k, "copy", None, None))
+                    out.append((k, "copy", None, None, None, None))
                 if wanted and (all(s[2] not in (wanted, langid.UNDETERMINED) for s in segs) if segs else ident.against(o, wanted) >= FOREIGN):
-                    out.append((k, "other_language", None, None))
+                    out.append((k, "other_language", None, None, None, None))
                 t = o if o.isascii() else clean(o)
-                how = "no" if one_word else breaks_off(t)
-                if how not in ("yes", "no") and segs and segs[-1][2] != wanted:
-                    how = "no"  # words of a language that the corpus has little of say nothing
+                how = breaks_off(t)
+                if one_word and how != "yes":
+                    how = "yes" if cut_from(norm(a), norm(o)) else "no"
                 if how == "yes":
-                    out.append((k, "truncated", None, None))
+                    out.append((k, "truncated", None, None, None, None))
                 elif how != "no":
-                    out.append((k, None, bool(_OWN_LETTERS.search(t)), how))
-            cols = list(zip(*out)) if out else [()] * 4
+                    out.append((k, None, bool(_OWN_LETTERS.search(t)), how, segs[-1][2] if segs else None, None))
+            out += [(None, None, None, None, lang, n) for lang, n in heard.items()]
+            cols = list(zip(*out)) if out else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
-    return spread(df.select(F.col(key).cast("bigint").alias(key), "instruction", "input", "output")).mapInArrow(run, f"{key} bigint, defect string, own boolean, word string")
+    return spread(df.select(F.col(key).cast("bigint").alias(key), "instruction", "input", "output")).mapInArrow(run, f"{key} bigint, defect string, own boolean, word string, lang string, n bigint")
 
 
 def defects(df: DataFrame, samples: dict[str, list[str]], key: str = "rec_id") -> DataFrame:
@@ -248,7 +264,11 @@ def defects(df: DataFrame, samples: dict[str, list[str]], key: str = "rec_id") -
     judged = stage(_judge(df, key, samples))  # few, narrow rows, read twice
     plain = judged.where("defect IS NOT NULL").select(key, "defect")
     counts = stage(word_endings(df, ["input", "output"]))
-    open_ended = judged.where("defect IS NULL").select(key, F.col("own"), F.col("word"))
+    heard = judged.where("n IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))  # a row a language
+    # Words of a language that the corpus has little of say nothing.
+    known = heard.crossJoin(heard.agg(F.sum("n").alias("all"))).where((F.col("n") >= COUNTED_SHARE * F.col("all")) & (F.col("lang") != langid.UNDETERMINED)).select("lang")
+    last = judged.where("defect IS NULL AND n IS NULL")
+    open_ended = last.where("lang IS NULL").unionAll(last.join(known, "lang", "left_semi").select(*last.columns)).select(key, F.col("own"), F.col("word"))
     n, e = (F.col("ends") + F.col("inside")).cast("double"), F.col("ends").cast("double")
     usual = counts.where("ends > 0").groupBy("own").agg((F.sum("ends") / F.sum(F.col("ends") + F.col("inside"))).alias("share"))  # two rows
     expected = n * F.coalesce("share", F.lit(1.0))

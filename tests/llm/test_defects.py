@@ -84,6 +84,14 @@ def test_answers_of_few_words_in_another_language(spark):
     assert sorted((r.rec_id, r.defect) for r in D.defects(df, SAMPLES).collect() if r.defect == "other_language") == [(1, "other_language"), (3, "other_language")]
 
 
+def test_truncated_whatever_the_instruction(spark):
+    df, _ = table(spark)
+    noun, cut, ru = "Identify the Balanda noun", "the girl will not open the kni", sentences("ru", 1)[0].rstrip(".")
+    more = [(2001, None, "x y", cut), (2002, "Render this", "x y", cut), (2003, noun, "kpɛn shoŋgüü naŋ", "shoŋg"), (2004, noun, "kpɛn shoŋgüü naŋ", "Shoŋgüü"), (2005, None, "x y", ru + " дождё"), (2006, noun, "kpɛn shoŋgüü naŋ", "“shoŋgüü naŋ"), (2007, "Render this", "x y", cut[:-3] + "river")]
+    got = {r.rec_id: r.defect for r in D.found(df.unionAll(spark.createDataFrame(more, df.schema)), SAMPLES).where("rec_id > 2000").collect()}
+    assert got == {2001: "truncated", 2002: "truncated", 2003: "truncated", 2006: "truncated"}
+
+
 def test_word_endings(spark):
     df = spark.createDataFrame([("a cat. a dog! the cat", None), ("the cat.", "ŋgɛ cat"), ("", "  ")], "x string, y string")
     got = {(r.own, r.word): (r.ends, r.inside) for r in D.word_endings(df.repartition(3), ["x", "y"]).collect()}
