@@ -113,3 +113,19 @@ def test_accuracy_on_held_out_samples(spark):
     held = [(k, t) for k, v in samples.items() for i, t in enumerate(v) if i % 4 == 0]
     right = sum([x[2] for x in s] == [k] for (k, _), s in zip(held, fit.segments([t for _, t in held])))
     assert right >= 0.98 * len(held)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001/lang_samples.parquet"), reason="no tables")
+def test_recall_of_runs_of_four_words(spark):
+    samples = L.load_samples(spark.read.parquet("/root/testdata/sf0.001/lang_samples.parquet"))
+    fit = L.Identifier({k: [t for i, t in enumerate(v) if i % 4] for k, v in samples.items()})
+    held = {k: [[w.strip(".,;:!?¿¡«»\"()") for w in t.split()] for i, t in enumerate(v) if i % 4 == 0] for k, v in samples.items()}
+    found = {}
+    for a in held:
+        for b in held:
+            if a != b:
+                texts = [" ".join(x + y[o : o + 4] + z) for x, y, z in zip(held[a], held[b], held[a][1:] + held[a][:1]) for o in range(len(y) - 3)]
+                found.setdefault({a, b} == {"es", "pt"}, []).extend([r[2] for r in s] == [a, b, a] for s in fit.segments(texts))
+    assert np.mean(found[False]) >= 0.97 and np.mean(found[True]) >= 0.5, {k: np.mean(v) for k, v in found.items()}
+    whole = [" ".join(x + y) for v in held.values() for x, y in zip(v, v[1:])]
+    assert all(len(s) == 1 for s in fit.segments(whole))
