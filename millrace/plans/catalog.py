@@ -174,6 +174,12 @@ def _(spark, d):
     return normalize.normalize_records(_shapes(table(spark, d, "train")), ["rec_id"])
 
 
+@query("normalize_raw")
+def _(spark, d):
+    """The lines of train_raw as they were written, whole."""
+    return normalize.normalize_records(table(spark, d, "train_raw"), ["rec_id"], "raw_line")
+
+
 _LIST = lambda x: f"array_to_string(list_transform(list_filter(from_json({x}, '[\"JSON\"]'), lambda y: json_type(y) NOT IN ('OBJECT', 'ARRAY')), lambda y: y ->> '$'), '; ')"
 _FLAT = lambda x: f"CASE json_type({x}) WHEN 'VARCHAR' THEN {x} ->> '$' WHEN 'ARRAY' THEN {_LIST(x)} ELSE '' END"
 _AT = lambda f: f"json_extract(v, '$.{f}')"

@@ -1,5 +1,6 @@
 """Every query with SQL gives the same rows as that SQL."""
 
+import json
 import os
 from collections import Counter
 
@@ -49,3 +50,18 @@ def test_core_does_not_import_the_subpackage():
                 if n.endswith(".py"):
                     text = open(os.path.join(folder, n), encoding="utf-8").read()
                     assert "from .llm" not in text and "from ..llm" not in text and "millrace.llm" not in text, n
+
+
+def test_normalize_raw_is_every_valid_line(spark):
+    def record(line):
+        try:
+            v = json.loads(line or "")
+        except ValueError:
+            return None
+        return v if isinstance(v, dict) and {"instruction", "input", "output"} <= set(v) else None
+
+    spell = lambda v: v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False, separators=(",", ":"))
+    lines = {r.rec_id: record(r.raw_line) for r in spark.read.parquet(f"{DATA}/train_raw.parquet").collect()}
+    want = {k: (spell(v["input"]), spell(v["output"])) for k, v in lines.items() if v}
+    got = {r.rec_id: (r.input, r.output) for r in entry.queries()["normalize_raw"](spark, DATA).collect()}
+    assert want and got == want and len(want) < len(lines)
