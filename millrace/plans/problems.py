@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators import schema_drift, shred
+from ..sources.staging import stage
 from ..sources.tables import table
 from .catalog import query
 
@@ -47,7 +48,31 @@ def p7_levels(spark, d) -> DataFrame:
     return shred.levels(table(spark, d, "v1_rules"), "file_id", "rules")
 
 
+@query("p7_columns")
+def p7_columns(spark, d) -> DataFrame:
+    """Every leaf path of the corpus: how many records have it and lack it, its entries, values and levels."""
+    return shred.columns_of(stage(p7_levels(spark, d)), "file_id")
+
+
 @query("p7_tables")
 def p7_tables(spark, d) -> DataFrame:
-    """Each node as a row of its flat table."""
+    """The rows of all tables, each with its own and its parent's key."""
     return shred.tables(table(spark, d, "v1_rules"), "file_id", "rules")
+
+
+@query("p7_catalogue")
+def p7_catalogue(spark, d) -> DataFrame:
+    """The tables, their parents and their columns."""
+    return shred.catalogue(stage(p7_tables(spark, d)))  # read twice
+
+
+@query("p7_table_rules")
+def p7_table_rules(spark, d) -> DataFrame:
+    """The table of the named rules, with a typed column for each field."""
+    return shred.typed_table(p7_tables(spark, d), "file_id", "/*")
+
+
+@query("p7_table_examples")
+def p7_table_examples(spark, d) -> DataFrame:
+    """The table of the rules' examples, whose parent is that of the rules."""
+    return shred.typed_table(p7_tables(spark, d), "file_id", "/*/examples/[]")
