@@ -47,7 +47,9 @@ IDENTIFY_PATTERN = r"^Identify\s+(?:the\s+)?(?:Balanda\s+)?(.+)$"
 # Fixed value: the system message of every chat.
 SYSTEM_PROMPT = "You are a Balanda (Njo Viri) language expert. Follow the user's instruction precisely."
 
-# Texts of an inferred header.
+# The type of every header, texts of an inferred one and of one from metadata.
+HEADER_TYPE = "grammar_rule"
+METADATA_DESCRIPTION = "Balanda lexicon extracted from {file}."
 INFERRED_NOTE = "Inferred from training records."
 INFERRED_DESCRIPTION = "This file contains Balanda language training examples for {name}. "
 INFERRED_ITEMS = "Items covered: {items}."

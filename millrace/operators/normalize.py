@@ -7,13 +7,12 @@ half of; they go through one Arrow-batched pass, without a shuffle.
 
 from __future__ import annotations
 
-import json
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.deepjson import dumps, loads
 from ..functions.text import canonical_instruction, first_filled, grammar_name, identified_category
 
 _EDGE = "".join(chr(c) for c in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
@@ -74,7 +73,7 @@ def _joined(items: list) -> str:
 
 
 def _flat(v: object) -> str:
-    return v if isinstance(v, str) else "" if v is None else _joined(v) if isinstance(v, list) else json.dumps(v, ensure_ascii=False)
+    return v if isinstance(v, str) else "" if v is None else _joined(v) if isinstance(v, list) else dumps(v)
 
 
 def rule_fields(key: str, value: object) -> tuple[str, str, str]:
@@ -91,68 +90,86 @@ def rule_fields(key: str, value: object) -> tuple[str, str, str]:
             return tuple(_flat(value.get(f, "")) for f in K.RULE_FIELDS)
         structure = next((value[k] for k in ("structure", "statement", "rule") if value.get(k)), None)
         rest = [_joined(v) if isinstance(v, list) else v for k, v in value.items() if k not in ("function", "structure", "statement", "rule") and isinstance(v, (str, list))]
-        return _flat(value.get("function", human)), json.dumps(value, ensure_ascii=False) if structure is None else _flat(structure), " | ".join(x for x in rest if x)
+        return _flat(value.get("function", human)), dumps(value) if structure is None else _flat(structure), " | ".join(x for x in rest if x)
     return human, _joined(value) if isinstance(value, list) else _scalar(value), ""
 
 
+def _rules_of(header: str | None, rules_field: str) -> list[tuple[int, str, str, str, str]]:
+    """``(pos, rule, function, structure, notes)`` of each rule of a header, storable as UTF-8."""
+    try:
+        rules = loads(header or "").get(rules_field)
+    except (ValueError, AttributeError):
+        return []
+    whole = lambda x: x if x.isascii() else x.encode("utf-8", "replace").decode("utf-8")
+    return [(pos, *map(whole, (name, *rule_fields(name, value)))) for pos, (name, value) in enumerate(rules.items() if isinstance(rules, dict) else ())]
+
+
 def normalize_rules(headers: DataFrame, key: str, header: str, rules_field: str = "rules") -> DataFrame:
     """``key, pos, rule, function, structure, notes`` of each rule; rules that are no object, and headers that
-    are no JSON object, give no rows.  ``key`` is a bigint column."""
+    are no JSON object, give no rows.  ``key`` is a bigint or a string column."""
+    of = headers.schema[key].dataType.simpleString()
+    kind, ddl = (pa.string(), "string") if of == "string" else (pa.int64(), "bigint")
+    schema = pa.schema([(key, kind), ("pos", pa.int32()), *((n, pa.string()) for n in ("rule", *K.RULE_FIELDS))])
 
     def run(batches):
         for b in batches:
-            out = [[] for _ in range(6)]
-            for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                try:
-                    rules = json.loads(h or "").get(rules_field)
-                except (ValueError, AttributeError, RecursionError):
-                    continue
-                for pos, (name, value) in enumerate(rules.items() if isinstance(rules, dict) else ()):
-                    for col, x in zip(out, (k, pos, name, *rule_fields(name, value))):
-                        col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.string()) for c in out[2:])], [key, "pos", "rule", "function", "structure", "notes"])
+            out = [(k, *r) for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for r in _rules_of(h, rules_field)]
+            cols = list(zip(*out)) if out else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
-    return headers.select(F.col(key).cast("bigint"), header).mapInArrow(run, f"{key} bigint, pos int, rule string, function string, structure string, notes string")
+    return headers.select(F.col(key).cast(ddl), header).mapInArrow(run, f"`{key}` {ddl}, pos int, rule string, function string, structure string, notes string")
 
 
 def normalize_header(headers: DataFrame, path: str, header: str) -> DataFrame:
-    """``path, grammar_name, description, n_rules``: an empty or absent name comes from the file name, an absent
-    description is '', rules that are no object count 0."""
-    get = lambda k: F.get_json_object(header, f"$.{k}")
-    rules = get("rules")
-    n = F.when(rules.startswith("{"), F.size(F.json_object_keys(rules))).otherwise(0)
-    return headers.select(path, first_filled(get("grammar_name"), grammar_name(path)).alias("grammar_name"), F.coalesce(get("description"), F.lit("")).alias("description"), n.cast("bigint").alias("n_rules"))
+    """``path, instruction_type, grammar_name, description, rules, n_rules``, the rules as an array of ``{rule, function,
+    structure, notes}`` in their order.
+
+    An empty or absent name comes from the file name, an absent description is '', rules that are no
+    object count 0.
+    """
+    rule = pa.struct([(n, pa.string()) for n in ("rule", *K.RULE_FIELDS)])
+    columns = headers.select(path, first_filled(F.get_json_object(header, "$.grammar_name"), grammar_name(path)).alias("grammar_name"), F.coalesce(F.get_json_object(header, "$.description"), F.lit("")).alias("description"), header)
+
+    def run(batches):
+        for b in batches:
+            rules = [[dict(zip(("rule", *K.RULE_FIELDS), r[1:])) for r in _rules_of(h, "rules")] for h in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(rules, pa.list_(rule))], [path, "grammar_name", "description", "rules"])
+
+    full = columns.mapInArrow(run, f"`{path}` string, grammar_name string, description string, rules array<struct<rule: string, function: string, structure: string, notes: string>>")
+    return full.select(path, F.lit(K.HEADER_TYPE).alias("instruction_type"), "grammar_name", "description", "rules", F.size("rules").cast("bigint").alias("n_rules"))
 
 
 def header_from_metadata(meta: DataFrame, path: str, obj: str) -> DataFrame:
-    """``path, grammar_name, description`` of a metadata object."""
+    """Likewise of a metadata object: the name is its dataset in lower case with underscores for white space, there are no rules."""
     name = F.coalesce(F.get_json_object(obj, "$.dataset"), grammar_name(path))
     file_name = F.regexp_extract(path, r"([^/]*)$", 1)
-    description = F.coalesce(F.get_json_object(obj, "$.description"), F.concat(F.lit("Balanda lexicon extracted from "), file_name, F.lit(".")))
-    return meta.select(path, F.lower(F.regexp_replace(name, f"{K.WS}+", "_")).alias("grammar_name"), description.alias("description"))
+    before, after = K.METADATA_DESCRIPTION.split("{file}")
+    description = F.coalesce(F.get_json_object(obj, "$.description"), F.concat(F.lit(before), file_name, F.lit(after)))
+    none = F.array().cast("array<struct<rule: string, function: string, structure: string, notes: string>>")
+    return meta.select(
+        path, F.lit(K.HEADER_TYPE).alias("instruction_type"), F.lower(F.regexp_replace(name, f"{K.WS}+", "_")).alias("grammar_name"), description.alias("description"),
+        none.alias("rules"), F.lit(0).cast("bigint").alias("n_rules"),
+    )
 
 
 def infer_header(records: DataFrame, path: str, instruction: str = "instruction") -> DataFrame:
-    """``path, grammar_name, description, rule_keys, n_rules`` from the categories that a file's instructions ask for.
+    """Likewise from the categories that a file's instructions ask for, with one rule a category.
 
     Distinct (file, category) pairs are taken before anything is collected, so a set holds
-    categories, not records.  Categories with equal keys give one rule.
+    categories, not records.  Categories with equal keys give one rule, at the place of the first and
+    with the text of the last.
     """
     pairs = records.select(path, identified_category(instruction).alias("c")).distinct()
     sets = pairs.groupBy(path).agg(F.array_sort(F.collect_set("c")).alias("cats"))  # NULLs aren't collected
     name = grammar_name(path)
     lead, (before, after) = K.INFERRED_DESCRIPTION.split("{name}"), K.INFERRED_ITEMS.split("{items}")
     text = F.concat(F.lit(lead[0]), humanize_name(name), F.lit(lead[1]), F.when(F.size("cats") > 0, F.concat(F.lit(before), F.array_join("cats", ", "), F.lit(after))).otherwise(""))
-    keys = F.array_distinct(F.transform("cats", lambda c: F.regexp_replace(F.lower(c), f"{K.WS}+", "_")))
-    return sets.select(path, name.alias("grammar_name"), F.rtrim(text).alias("description"), F.array_join(keys, ",").alias("rule_keys"), F.size(keys).cast("bigint").alias("n_rules"))
+    keyed = sets.withColumn("__keys", F.transform("cats", lambda c: F.regexp_replace(F.lower(c), f"{K.WS}+", "_")))
+    last = lambda k: F.element_at(F.filter("cats", lambda c: F.regexp_replace(F.lower(c), f"{K.WS}+", "_") == k), -1)
+    rules = F.transform(F.array_distinct("__keys"), lambda k: F.struct(k.alias("rule"), last(k).alias("function"), F.lit("").alias("structure"), F.lit(K.INFERRED_NOTE).alias("notes")))
+    return keyed.select(path, F.lit(K.HEADER_TYPE).alias("instruction_type"), name.alias("grammar_name"), F.rtrim(text).alias("description"), rules.alias("rules")).withColumn("n_rules", F.size("rules").cast("bigint"))
 
 
 def humanize_name(name: Column) -> Column:
     """Underscores as spaces."""
     return F.translate(name, "_", " ")
-
-
-def header_status(has_header: Column, has_metadata: Column) -> Column:
-    """``converted`` for a header of its own, ``header-inferred`` for one from metadata or from records."""
-    return F.when(has_header, "converted").otherwise("header-inferred")
-

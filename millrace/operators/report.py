@@ -61,3 +61,20 @@ def split_peek(df: DataFrame, key: str, split: str = "split") -> DataFrame:
     first = F.min_by(F.struct(*K.RECORD_KEYS), key)
     out = df.groupBy(split).agg(F.count(F.lit(1)).alias("n"), first.alias("f"))
     return out.select(split, "n", *[F.col(f"f.{k}").alias(f"first_{k}") for k in K.RECORD_KEYS])
+
+
+def label_width(df: DataFrame, label: str) -> int:
+    """The length of the longest label, 0 without any."""
+    return df.agg(F.coalesce(F.max(F.length(F.col(label))), F.lit(0))).first()[0]
+
+
+def aligned(df: DataFrame, label: str) -> DataFrame:
+    """``df`` with its first column ``label`` padded to one width, as reports are printed."""
+    return df.withColumn(label, F.rpad(F.coalesce(label, F.lit("")), label_width(df, label), " "))
+
+
+def print_report(df: DataFrame, label: str) -> None:
+    """Every row, labels aligned; rows come to the driver partition by partition."""
+    print("  ".join(df.columns))
+    for row in aligned(df, label).toLocalIterator():
+        print("  ".join(str(x) for x in row))

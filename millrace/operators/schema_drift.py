@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.deepjson import dumps, loads
+
 #: Revision numbers per block: bounds what one task sees of a file.
 BLOCK = 256
 #: Flooding stops when no similarity changes by more than this.
@@ -45,7 +47,7 @@ def json_type(v: object) -> list[str]:
 
 def canonical(v: object) -> str:
     """Equal for equal JSON values."""
-    return json.dumps(v, sort_keys=True, ensure_ascii=True, separators=(",", ":"))
+    return dumps(v, ascii_only=True, separators=(",", ":"), sort_keys=True)
 
 
 def _void(v: object) -> bool:
@@ -268,8 +270,8 @@ def fold(state: dict, first: dict, rest: dict) -> dict:
 def load(text: str | None) -> dict | None:
     """A header, None where the text is no JSON object."""
     try:
-        v = json.loads(text or "")
-    except (ValueError, RecursionError):
+        v = loads(text or "")
+    except ValueError:
         return None
     return v if isinstance(v, dict) else None
 
@@ -385,7 +387,7 @@ def unified(headers: DataFrame, block: int = BLOCK) -> DataFrame:
     ddl = "file_id bigint, rev_no bigint, instruction_type string, grammar_name string, description string, rules map<string, struct<function: string, structure: string, notes: string, extra: string, lists: string>>, extra map<string, string>, lists map<string, string>"
 
     def text(v):
-        s = v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+        s = v if v is None or isinstance(v, str) else dumps(v)
         return s if s is None else s.encode("utf-8", "replace").decode("utf-8")
 
     def cell(v, column, lists):

@@ -63,9 +63,11 @@ def _deduped(spark, d):
     return dedup.keep_first(table(spark, d, "train"), _order())
 
 
-def _split(spark, d):
-    t = _deduped(spark, d).withColumn("itype", X.instruction_type("instruction"))
-    return split.stratified_split(t, ["_source", "itype"], "rec_id")
+def _split(spark, d, *more):
+    """The records that are left with their split.  Ranking reads its input twice, so the narrow result of the
+    de-duplication is staged: whole records are shuffled once."""
+    kept = _deduped(spark, d).select("rec_id", "_source", X.instruction_type("instruction").alias("itype"), *more)
+    return split.stratified_split(stage(kept), ["_source", "itype"], "rec_id")
 
 
 # ---- text functions -------------------------------------------------------------------------------------------------
@@ -187,7 +189,7 @@ _FILLED = lambda f: f"(CASE WHEN json_type(v, '$.{f}') = 'VARCHAR' THEN v ->> '$
 _NAMED = "('function', 'structure', 'statement', 'rule')"
 _DUMP = lambda x: f"CASE json_type({x}) WHEN 'ARRAY' THEN '[' || array_to_string(list_transform(from_json({x}, '[\"JSON\"]'), lambda y: CAST(y AS VARCHAR)), ', ') || ']' ELSE CAST({x} AS VARCHAR) END"
 #: An object without any structure becomes its JSON with spaces after commas and colons (one level of nesting here).
-_RULES_SQL = f"""SELECT file_id, CAST(row_number() OVER (PARTITION BY file_id, rid ORDER BY jid) - 1 AS INTEGER) AS pos, rule,
+_RULES_OF = lambda key, headers: f"""SELECT {key}, CAST(row_number() OVER (PARTITION BY {key}, rid ORDER BY jid) - 1 AS INTEGER) AS pos, rule,
   CASE WHEN t <> 'OBJECT' THEN {_STRIP("translate(rule, '_-', '  ')")} WHEN plain OR json_exists(v, '$.function') THEN {_FLAT(_AT("function"))} ELSE {_STRIP("translate(rule, '_-', '  ')")} END AS function,
   CASE WHEN t = 'VARCHAR' THEN v ->> '$' WHEN t = 'ARRAY' THEN {_LIST("v")} WHEN plain OR {_FILLED("structure")} THEN {_FLAT(_AT("structure"))}
     WHEN {_FILLED("statement")} THEN {_FLAT(_AT("statement"))} WHEN {_FILLED("rule")} THEN {_FLAT(_AT("rule"))}
@@ -195,37 +197,37 @@ _RULES_SQL = f"""SELECT file_id, CAST(row_number() OVER (PARTITION BY file_id, r
   CASE WHEN t <> 'OBJECT' THEN '' WHEN plain THEN {_FLAT(_AT("notes"))} ELSE array_to_string(list_filter(list_transform(list_filter(ks, lambda k: k NOT IN {_NAMED}),
     lambda k: {_FLAT("json_extract(v, '$.' || k)")}), lambda n: n <> ''), ' | ') END AS notes
   FROM (SELECT *, json_keys(v) AS ks, len(list_filter(json_keys(v), lambda k: k NOT IN ('function', 'structure', 'notes'))) = 0 AS plain FROM (
-    SELECT h.file_id, h.rid, je.id AS jid, je.key AS rule, je.value AS v, je.type AS t FROM (SELECT *, row_number() OVER () AS rid FROM v1_headers) h, json_each(h.header_json, '$.rules') je
-    WHERE json_type(h.header_json, '$.rules') = 'OBJECT'))"""
+    SELECT h.{key}, h.rid, je.id AS jid, je.key AS rule, je.value AS v, je.type AS t FROM (SELECT *, row_number() OVER () AS rid FROM ({headers})) h, json_each(h.header_json, '$.rules') je
+    WHERE json_type(h.header_json, '$.rules') = 'OBJECT'))"""
 
 
-@query("normalize_rules", _RULES_SQL)
+@query("normalize_rules", _RULES_OF("file_id", "SELECT * FROM v1_headers"))
 def _(spark, d):
     return normalize.normalize_rules(table(spark, d, "v1_headers"), "file_id", "header_json")
 
 
 @query(
     "normalize_header",
-    f"""SELECT file_path, coalesce(nullif(json_extract_string(header_json, '$.grammar_name'), ''), {_GNAME("file_path")}) AS grammar_name,
+    f"""SELECT file_path, '{K.HEADER_TYPE}' AS instruction_type, coalesce(nullif(json_extract_string(header_json, '$.grammar_name'), ''), {_GNAME("file_path")}) AS grammar_name,
     coalesce(json_extract_string(header_json, '$.description'), '') AS description,
     CASE WHEN json_type(header_json, '$.rules') = 'OBJECT' THEN CAST(len(json_keys(header_json, '$.rules')) AS BIGINT) ELSE 0 END AS n_rules FROM ({_FH})""",
 )
 def _(spark, d):
-    return normalize.normalize_header(_first_headers(spark, d), "file_path", "header_json")
+    return normalize.normalize_header(_first_headers(spark, d), "file_path", "header_json").drop("rules")  # those: header_rules
 
 
 @query(
     "infer_header",
-    f"""SELECT _source, {_GNAME("_source")} AS grammar_name,
+    f"""SELECT _source, '{K.HEADER_TYPE}' AS instruction_type, {_GNAME("_source")} AS grammar_name,
     rtrim('This file contains Balanda language training examples for ' || replace({_GNAME("_source")}, '_', ' ') || '. ' ||
       CASE WHEN len(cats) > 0 THEN 'Items covered: ' || array_to_string(cats, ', ') || '.' ELSE '' END) AS description,
-    array_to_string(keys, ',') AS rule_keys, CAST(len(keys) AS BIGINT) AS n_rules
+    CAST(len(keys) AS BIGINT) AS n_rules
     FROM (SELECT _source, cats, list_transform(list_filter(list_zip(ks, range(1, len(ks) + 1)), lambda x: list_position(ks, x[1]) = x[2]), lambda x: x[1]) AS keys
       FROM (SELECT *, list_transform(cats, lambda c: regexp_replace(lower(c), '{_WS}+', '_', 'g')) AS ks
         FROM (SELECT _source, list_sort(coalesce(list(DISTINCT c) FILTER (c IS NOT NULL), [])) AS cats FROM (SELECT _source, {_CAT_OF("instruction")} AS c FROM train) GROUP BY _source)))""",
 )
 def _(spark, d):
-    return normalize.infer_header(table(spark, d, "train"), "_source")
+    return normalize.infer_header(table(spark, d, "train"), "_source").drop("rules")  # those: inferred_rules
 
 
 @query(
@@ -318,7 +320,7 @@ def _(spark, d):
 
 @query("split_leakage", f"SELECT instruction, input, count(DISTINCT split) AS n_splits, count(*) AS n_rows FROM ({_SPLIT}) GROUP BY 1, 2 HAVING count(DISTINCT split) > 1")
 def _(spark, d):
-    return split.split_leakage(_split(spark, d), ["instruction", "input"])
+    return split.split_leakage(_split(spark, d, "instruction", "input"), ["instruction", "input"])
 
 
 @query("split_peek", "SELECT split_name, count(*) AS n, arg_min(coalesce(instruction, ''), rec_id) AS first_instruction, arg_min(coalesce(input, ''), rec_id) AS first_input, arg_min(coalesce(output, ''), rec_id) AS first_output FROM test GROUP BY 1")

@@ -18,7 +18,7 @@ from ..functions import constants as K
 from ..functions.text import instruction_type
 from ..operators import augment, classify, dedup, report, split, validate
 from ..sources import decoder, files
-from ..sources.staging import stage
+from ..sources.staging import scope, stage
 
 
 @dataclass
@@ -30,20 +30,23 @@ class Prepared:
     dedup_stats: DataFrame
     summary: DataFrame
     by_type: DataFrame
+    failures: DataFrame
     valid: dict[str, int]
 
 
-def load(spark: SparkSession, root: str, augment_rules: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(files, primary, all records)``; a file without records is still among the files."""
+def load(spark: SparkSession, root: str, augment_rules: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``(files, primary, all records, failures)``; a file without records is still among the files, and what of a
+    file could not be decoded is among the failures ``path, error``."""
     source = files.read_whole(spark, root)
-    objects = stage(decoder.parse_files(source).where("error IS NULL"))
+    decoded = stage(decoder.parse_files(source))
+    objects = decoded.where("error IS NULL")
     kind = classify.kind(F.col("obj"))
     primary = objects.where(kind == "record").select(
         F.col("path").alias("_source"), F.col("ordinal").cast("bigint").alias("ordinal"), *[F.get_json_object("obj", f"$.{k}").alias(k) for k in K.RECORD_KEYS]
     ).withColumn("_itype", instruction_type("instruction"))
     headers = classify.first_header(objects, [F.col("ordinal")])
     everything = augment.union_augmented(primary, augment.augment_rules(headers, "path", "obj"), augment_rules)
-    return source.select("path"), primary, everything
+    return source.select("path"), primary, everything, decoded.where("error IS NOT NULL").select("path", "error")
 
 
 def run(spark: SparkSession, root: str, out_dir: str | None = None, seed: int = 42, augment_rules: bool = True) -> Prepared:
@@ -52,9 +55,9 @@ def run(spark: SparkSession, root: str, out_dir: str | None = None, seed: int =
     A tree without matching files raises :class:`sources.files.NoInput`; files without records give
     empty splits.
     """
-    paths, primary, everything = load(spark, root, augment_rules)
+    paths, primary, everything, failures = load(spark, root, augment_rules)
     order = [F.col("_source"), F.col("phase"), F.col("ordinal")]
-    kept = dedup.keep_first(everything, order).withColumn("rid", F.concat_ws("\u0000", "_source", F.col("phase").cast("string"), F.col("ordinal").cast("string")))
+    kept = dedup.keep_first(everything, order).withColumn("rid", F.concat_ws(":", "_source", F.col("phase").cast("string"), F.col("ordinal").cast("string")))
     # Ranking reads its input twice (rows, bucket sizes), so what it ranks is staged.
     labelled = stage(split.stratified_split(stage(kept), ["_source", "_itype"], "rid", seed))
     done = stage(split.seeded_shuffle(labelled, "rid", ["split"], seed))
@@ -62,14 +65,14 @@ def run(spark: SparkSession, root: str, out_dir: str | None = None, seed: int =
     if out_dir:
         files.write_splits(done, out_dir)
         for name in K.SPLITS:
-            lines = spark.read.text(f"{out_dir}/{name}.jsonl").select(F.lit(name).alias("path"), F.monotonically_increasing_id().alias("lineno"), F.col("value").alias("line"))
-            valid[name] = validate.require_valid(lines)
+            valid[name] = validate.require_valid(spark, f"{out_dir}/{name}.jsonl")
     return Prepared(
         done,
         report.source_counts(paths.withColumnRenamed("path", "file_path"), primary),
         dedup.dedup_stats(everything),
         report.split_summary(done),
         report.itype_by_split(done, F.col("_itype")),
+        failures,
         valid,
     )
 
@@ -82,9 +85,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--augment-from-rules", action=argparse.BooleanOptionalAction, default=True)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("prepare").getOrCreate()
-    done = run(spark, a.root, a.out_dir, a.seed, a.augment_from_rules)
-    for df in (done.source_counts.orderBy("file_path"), done.dedup_stats, done.summary, done.by_type.orderBy("itype")):
-        df.show(1_000, truncate=False)
+    with scope():
+        done = run(spark, a.root, a.out_dir, a.seed, a.augment_from_rules)
+        for df, label in ((done.source_counts.orderBy("file_path"), "file_path"), (done.summary, "split"), (done.by_type.orderBy("itype"), "itype"), (done.failures.orderBy("path"), "path")):
+            report.print_report(df, label)
+        print(done.dedup_stats.first())
 
 
 if __name__ == "__main__":

@@ -8,7 +8,6 @@ overwritten; files whose bytes already are what they should be are reported as `
 
 from __future__ import annotations
 
-import json
 import re
 import sys
 
@@ -17,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.deepjson import dumps
 from ..operators.normalize import rule_fields
+from ..operators.report import print_report
 from ..sources import files
 from ..sources.decoder import decode_values
+from ..sources.staging import scope, stage
 
 _IDENTIFY = re.compile(K.IDENTIFY_PATTERN, re.IGNORECASE)
 
@@ -62,14 +64,14 @@ def record(o: dict) -> dict | None:
 
 def header(path: str, own: dict | None, metadata: dict | None, records: list[dict]) -> dict:
     """The header of a file: its own made uniform, else one from its metadata, else one from its records."""
-    out = {"instruction_type": "grammar_rule", "grammar_name": name_of(path), "description": "", "rules": {}}
+    out = {"instruction_type": K.HEADER_TYPE, "grammar_name": name_of(path), "description": "", "rules": {}}
     if own is not None:
         rules = own.get("rules", {})
         named = {k: dict(zip(K.RULE_FIELDS, rule_fields(k, v))) for k, v in rules.items()} if isinstance(rules, dict) else {}
         return out | {"grammar_name": own.get("grammar_name") or out["grammar_name"], "description": own.get("description", ""), "rules": named}
     if metadata is not None:
         file_name = path.rsplit("/", 1)[-1]
-        return out | {"grammar_name": re.sub(r"\s+", "_", str(metadata.get("dataset", out["grammar_name"]))).lower(), "description": metadata.get("description", f"Balanda lexicon extracted from {file_name}.")}
+        return out | {"grammar_name": re.sub(r"\s+", "_", str(metadata.get("dataset", out["grammar_name"]))).lower(), "description": metadata.get("description", K.METADATA_DESCRIPTION.format(file=file_name))}
     found = sorted({c for r in records if (c := _category(r.get("instruction", ""))) is not None})
     text = K.INFERRED_DESCRIPTION.format(name=out["grammar_name"].replace("_", " ")) + (K.INFERRED_ITEMS.format(items=", ".join(found)) if found else "")
     rules = {re.sub(r"\s+", "_", c.lower()): {"function": c, "structure": "", "notes": K.INFERRED_NOTE} for c in found}
@@ -90,7 +92,7 @@ def normalize_text(path: str, content: str | None) -> tuple[str, str, int, int]:
         else:
             records.append(o)
     kept = [r for o in records if (r := record(o)) is not None]
-    lines = [json.dumps(header(path, own, metadata, records), ensure_ascii=False, indent=2), *(json.dumps(r, ensure_ascii=False, separators=(",", ":")) for r in kept)]
+    lines = [dumps(header(path, own, metadata, records), indent=2), *(dumps(r, separators=(",", ":")) for r in kept)]
     return "\n".join(lines) + "\n", "converted" if own is not None else "header-inferred", len(records), len(kept)
 
 
@@ -120,8 +122,6 @@ def normalized(source: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, root: str, target: str) -> DataFrame:
     """Normalise every ``*.jsonl`` below ``root`` into ``target``: ``path, status, n_before, n_after``."""
-    from ..sources.staging import stage
-
     done = stage(normalized(files.read_whole(spark, root, "*.jsonl")))
     written = stage(files.write_documents(done.where("NOT startswith(status, 'ERROR')"), target))
     state = written.select("path", F.col("status").alias("w"))
@@ -130,4 +130,5 @@ def run(spark: SparkSession, root: str, target: str) -> DataFrame:
 
 if __name__ == "__main__":
     session = SparkSession.builder.appName("tree").getOrCreate()
-    run(session, sys.argv[1], sys.argv[2]).orderBy("path").show(10_000, truncate=False)
+    with scope():
+        print_report(run(session, sys.argv[1], sys.argv[2]).orderBy("path"), "path")

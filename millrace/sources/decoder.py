@@ -7,15 +7,15 @@ neither Spark's line mode nor its multi-line mode reads more than one pretty-pri
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import udtf
 
+from ..functions.deepjson import dumps, raw_decode
+
 #: Only these count as space between values.
 _GAP = " \t\r\n"
-_decoder = json.JSONDecoder()
 
 
 def decode_values(text: str | None) -> Iterator[tuple[int, object, bool]]:
@@ -34,8 +34,8 @@ def decode_values(text: str | None) -> Iterator[tuple[int, object, bool]]:
         if begin == end:
             return
         try:
-            value, at = _decoder.raw_decode(text, begin)
-        except (json.JSONDecodeError, RecursionError):
+            value, at = raw_decode(text, begin)
+        except ValueError:
             newline = text.find("\n", begin)
             if newline < 0:
                 return
@@ -49,7 +49,7 @@ def decode_values(text: str | None) -> Iterator[tuple[int, object, bool]]:
 
 def dump(value: object) -> str:
     """Compact JSON, not escaped; lone surrogates become U+FFFD so that it can be stored as UTF-8."""
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "replace").decode("utf-8")
+    return dumps(value, separators=(",", ":")).encode("utf-8", "replace").decode("utf-8")
 
 
 class ParseObjects:

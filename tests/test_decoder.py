@@ -1,10 +1,16 @@
+import json
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace.functions import constants as K
+from millrace.functions import text as X
+from millrace.operators import normalize
 from millrace.plans import prepare, tree
-from millrace.sources import decoder, files
+from millrace.sources import decoder, files, staging
 
 CASES = [
     ('{\n "a": 1\n}\n{"b":2}\n{"c":3}\n', 3), ('{"a":1}{"b":2}', 2), ('[{"a":1},3,{"b":2}]', 2), ('[[{"a":1}]]', 0), ('Section A\n{"a":1}\n', 1),
@@ -68,6 +74,62 @@ def test_tree(spark, corpus, rows):
     assert {r.status for r in once_more.collect()} == {"skipped"}
 
 
+def test_underscored_names(spark, tmp_path, rows):
+    os.makedirs(tmp_path / "_d" / "e+ f")
+    for name in ("_a_v1.jsonl", "b_v1.jsonl", "_d/e+ f/c_v1.jsonl", "_other.jsonl", ".hidden_v1.jsonl"):
+        (tmp_path / name).write_text(f'{{"x":"{name} \u014b"}}')
+    assert rows(files.read_whole(spark, str(tmp_path))) == sorted((n, f'{{"x":"{n} \u014b"}}') for n in ("_a_v1.jsonl", "b_v1.jsonl", "_d/e+ f/c_v1.jsonl"))
+    os.remove(tmp_path / "b_v1.jsonl")
+    assert files.read_whole(spark, f"file://{tmp_path}").count() == 2
+
+
+def test_deep_objects():
+    deep = '{"a":' * 4_000 + "1" + "}" * 4_000
+    assert [decoder.dump(o) for _, o, _ in decoder.decode_values(deep + '\n{"b":2}')] == [deep, '{"b":2}']
+
+
+def test_failures_are_reported(spark, corpus, monkeypatch, rows):
+    failed = spark.createDataFrame([("a_v1.jsonl", None, None, None, "ERROR: x"), ("b_v1.jsonl", 0, '{"instruction":"i","input":"","output":"o"}', False, None)], "path string, ordinal int, obj string, in_array boolean, error string")
+    monkeypatch.setattr(prepare.decoder, "parse_files", lambda _: failed)
+    done = prepare.run(spark, str(corpus / "in"))
+    assert rows(done.failures) == [("a_v1.jsonl", "ERROR: x")] and done.records.count() == 1
+
+
+def test_staging(spark, tmp_path):
+    with staging.scope():
+        path = staging.place(spark).removeprefix("file:")
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path) and staging.stage(spark.range(2)).count() == 2
+    assert not os.path.exists(path)
+
+    class Elsewhere:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: {})
+            _jsc = type("J", (), {"sc": staticmethod(lambda: type("S", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isDefined": staticmethod(lambda: False)})())})())})()
+
+        conf = type("C", (), {"get": staticmethod(lambda *_: None)})()
+
+    with pytest.raises(staging.NoSharedFolder):
+        staging.folder(Elsewhere())
+
+
+WORDS = st.sampled_from(["Identify", "identify", "the", "Balanda", "balanda", "noun", " ", "  ", "\t", "\u00a0", "x_v2", ".jsonl", "_v1", "-", "/", K.B2E, "É", "\n"])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(WORDS, max_size=6).map("".join), min_size=60, max_size=60))
+def test_file_plan_agrees_with_columns(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", X.canonical_instruction("t").alias("c"), X.grammar_name("t").alias("g")).collect():
+        assert (tree.canonical(r.t), tree.name_of(r.t)) == (r.c, r.g), repr(r.t)
+    objs = [{k: t for k, t in zip(keys, texts)} for keys in (("instruction", "input", "output"), ("instruction", "output"), ("balanda", "english", "x"), ("type", "source", "target"), ("instruction",))]
+    objs[3]["type"] = "translation_pair"
+    for o in objs:
+        got = spark.createDataFrame([(json.dumps(o),)], "o string").select(normalize.normalize_record(F.col("o")).alias("r")).first().r
+        assert tree.record(o) == (got.asDict() if got else None)
+
+
 def test_changed_files(spark, rows):
     new = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "path string, content string")
     old = spark.createDataFrame([("a", "1"), ("b", "2\n")], "path string, content string")

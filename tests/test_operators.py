@@ -41,6 +41,13 @@ def test_rule_values(value, want):
     assert normalize.rule_fields("my_key", value) == want
 
 
+def test_deep_rules(spark):
+    deep = "[" * 5_000 + "]" * 5_000
+    df = spark.createDataFrame([("p", '{"rules": {"a": {"x": ' + deep + '}, "b": "\\ud800"}}')], "p string, h string")
+    got = {r.rule: r for r in normalize.normalize_rules(df, "p", "h").collect()}
+    assert got["a"].structure == '{"x": ' + deep + "}" and got["b"].structure == "?"
+
+
 def test_normalize_rules_bad_headers(spark, rows):
     df = spark.createDataFrame([(1, "{bad"), (2, None), (3, '{"rules": [1]}'), (4, "[]"), (5, '{"rules": {"a_b": "t"}}')], "id bigint, h string")
     assert rows(normalize.normalize_rules(df, "id", "h")) == [(5, 0, "a_b", "a b", "t", "")]
@@ -48,12 +55,14 @@ def test_normalize_rules_bad_headers(spark, rows):
 
 def test_headers(spark, rows):
     df = spark.createDataFrame([("x/Noun list_v1.jsonl", '{"grammar_name":"","rules":{"a":1}}'), ("y_v2.jsonl", '{"grammar_name":"g","description":"d","rules":[1]}')], "p string, h string")
-    assert rows(normalize.normalize_header(df, "p", "h")) == [("x/Noun list_v1.jsonl", "noun_list", "", 1), ("y_v2.jsonl", "g", "d", 0)]
+    got = {r.p: r for r in normalize.normalize_header(df, "p", "h").collect()}
+    assert tuple(got["x/Noun list_v1.jsonl"])[1:4] == ("grammar_rule", "noun_list", "") and [tuple(r) for r in got["x/Noun list_v1.jsonl"].rules] == [("a", "a", "1", "")]
+    assert tuple(got["y_v2.jsonl"])[1:] == ("grammar_rule", "g", "d", [], 0)
     meta = spark.createDataFrame([("a/Lex_v1.jsonl", '{"dataset":"My Set-x"}'), ("b.jsonl", "{}")], "p string, o string")
-    assert rows(normalize.header_from_metadata(meta, "p", "o")) == [("a/Lex_v1.jsonl", "my_set-x", "Balanda lexicon extracted from Lex_v1.jsonl."), ("b.jsonl", "b", "Balanda lexicon extracted from b.jsonl.")]
+    assert rows(normalize.header_from_metadata(meta, "p", "o")) == [(p, "grammar_rule", name, f"Balanda lexicon extracted from {p.split('/')[-1]}.", [], 0) for p, name in (("a/Lex_v1.jsonl", "my_set-x"), ("b.jsonl", "b"))]
     recs = spark.createDataFrame([("n_v1.jsonl", "Identify Big noun"), ("n_v1.jsonl", "identify the big noun"), ("n_v1.jsonl", None), ("m_v1.jsonl", "x")], "p string, instruction string")
     got = {r.p: r for r in normalize.infer_header(recs, "p").collect()}
-    assert got["n_v1.jsonl"].rule_keys == "big_noun" and got["n_v1.jsonl"].description.endswith("Items covered: Big noun, big noun.") and got["m_v1.jsonl"].n_rules == 0
+    assert [tuple(r) for r in got["n_v1.jsonl"].rules] == [("big_noun", "big noun", "", K.INFERRED_NOTE)] and got["n_v1.jsonl"].description.endswith("Items covered: Big noun, big noun.") and got["m_v1.jsonl"].n_rules == 0
 
 
 def test_augment(spark):
@@ -126,9 +135,28 @@ def test_validate(spark, rows):
     df = spark.createDataFrame([("p", "\n".join([good, "", good, '{"instruction":"i"}', "nope", " "])), ("q", good + "\r\n"), ("r", ""), ("s", None)], "path string, content string")
     lines = validate.numbered_lines(df)
     assert rows(validate.validate_lines(lines, "line", ["path", "lineno"])) == [("p", 1, "ok"), ("p", 3, "ok"), ("p", 4, "keys"), ("p", 5, "invalid"), ("p", 6, "invalid"), ("q", 1, "ok")]
-    with pytest.raises(validate.InvalidJsonl, match="p:4: keys"):
-        validate.require_valid(lines)
-    assert validate.require_valid(lines.where("path = 'q'")) == 1
+
+
+def test_written_lines(spark, tmp_path, rows):
+    good = json.dumps({"output": "o" * 30, "instruction": "i", "input": ""}) + "\n"
+    (tmp_path / "a.jsonl").write_text(good * 50 + "\n" + good * 49 + "nope\n" + good * 20 + '{"instruction":1}')
+    (tmp_path / "b.jsonl").write_text(good * 3)
+    (tmp_path / "c.jsonl").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")  # many blocks a file
+    try:
+        got = sorted((r.path.split("/")[-1], r.lineno or 0, r.status, r.n) for r in validate.written_lines(spark, str(tmp_path)).collect())
+        assert got == [("a.jsonl", 0, "ok", 119), ("a.jsonl", 101, "invalid", 1), ("a.jsonl", 122, "keys", 1), ("b.jsonl", 0, "ok", 3)]
+        with pytest.raises(validate.InvalidJsonl, match="a.jsonl:101: invalid"):
+            validate.require_valid(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert validate.require_valid(spark, str(tmp_path / "b.jsonl")) == 3 and validate.require_valid(spark, str(tmp_path / "c.jsonl")) == 0
+
+
+def test_labels(spark):
+    df = spark.createDataFrame([("a", 1), ("long label", 2), (None, 3)], "l string, n int")
+    assert report.label_width(df, "l") == 10 and [r.l for r in report.aligned(df, "l").collect()] == ["a" + " " * 9, "long label", " " * 10]
+    assert report.label_width(df.limit(0), "l") == 0
 
 
 def test_chat(spark):
