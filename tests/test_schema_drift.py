@@ -1,6 +1,7 @@
 import json
 import os
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,6 +141,48 @@ def test_flooding_prefers_equal_values_and_names():
     assert ("grammar_name", "grammarName") in {(a, b) for a, b, _ in named}
 
 
+def test_verification_rejects_and_selection_goes_on():
+    args = ({"p": ["string"], "q": ["string"]}, {"pp": ["string"], "z": ["string"]}, {"p": ["1"], "q": ["2"]}, {"pp": ["2"], "z": ["1"]})
+    asked = []
+
+    def holds(x, y):
+        asked.append((x, y))
+        return (x, y) == ("p", "z")
+
+    assert [(x, y) for x, y, _ in S.correspondences(*args, holds)] == [("p", "z")] and len(asked) > 1
+
+
+@pytest.mark.parametrize("name", ["name", "gname", "grammar", "grammar_title", "Grammar_Name", "grammarName"])
+def test_base_names_by_flooding(name):
+    header = {"instruction_type": ["string"], name: ["string"], "description": ["string"], "ruleEntries": ["array"], "level": ["number"], "owner": ["string"]}
+    assert S.by_name(S.BASE_FIELDS, header) == {name: "grammar_name", "ruleEntries": "rules"}
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/v1_headers.parquet"), reason="no tables")
+def test_unified_holds_every_value(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/v1_headers.parquet")
+
+    def leaves(v):
+        if isinstance(v, (dict, list)):
+            return [y for x in (v.values() if isinstance(v, dict) else v) for y in leaves(x)]
+        return [] if v is None else [v if isinstance(v, str) else json.dumps(v)]
+
+    def opened(t):
+        try:
+            v = json.loads(t)
+        except ValueError:
+            return [t]
+        return [t, *leaves(v)] if isinstance(v, (dict, list)) else [t]
+
+    got = {(r.file_id, r.rev_no): r for r in S.unified(df).collect()}
+    for r in S.revisions(df).collect():
+        row = got[r.file_id, r.rev_no]
+        texts = [row.instruction_type, row.grammar_name, row.description, *row.extra.values(), *row.lists.values()] + [t for rule in row.rules.values() for t in rule] + list(row.rules)
+        there = Counter(x for t in texts if t is not None for x in opened(t))
+        missing = Counter(leaves(json.loads(r.header_json))) - there
+        assert not missing, (r.file_id, r.rev_no, missing)
+
+
 def test_unified(spark):
     h1 = {"grammarName": "g", "instruction_type": "t", "rules": {"r": {"function": "f", "structure": ["s", "t"], "more": 1}}}
     h2 = {"title": "g", "instruction_type": "t", "ruleEntries": [{"name": "r", "func": "f", "structure": ["s", "t"], "more": 1}, "plain"], "level": 2}
