@@ -29,8 +29,9 @@ BLOCK = 256
 #: Flooding stops when no similarity changes by more than this.
 EPSILON, MAX_ROUNDS = 1e-4, 200
 #: Least flooded similarity, relative to that of a field with itself, at which names without values to compare correspond
-#: (for the unified table).  Renamings of the base header's fields reach 0.23 and more, other names at most 0.18.
-NAME_MATCH = 0.2
+#: (for the unified table).  Renamings of the base header's fields reach 0.23 and more, other names at most 0.18.  Two names
+#: have something in common from an initial similarity of SEED on.
+NAME_MATCH, SEED = 0.2, 0.25
 
 #: The header that the first revision is compared with.
 BASE_FIELDS = {"instruction_type": ["string"], "grammar_name": ["string"], "description": ["string"], "rules": ["object"]}
@@ -185,7 +186,7 @@ def by_name(old: dict[str, list[str]], new: dict[str, list[str]]) -> dict[str, s
     """
     pairs = similarities(old, new, {}, {})
     scale = max((pairs[k, k] for k in old.keys() & new.keys()), default=1.0)
-    apart = {(x, y): s for (x, y), s in pairs.items() if x not in new and y not in old and name_similarity(x, y) > 0}
+    apart = {(x, y): s for (x, y), s in pairs.items() if x not in new and y not in old and name_similarity(x, y) >= SEED}
     return {y: x for x, y, s in selection(apart) if s >= NAME_MATCH * scale}
 
 
