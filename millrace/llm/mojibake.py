@@ -3,7 +3,13 @@
 Restoration is a best-first search over encode, decode and unescape operations.  A state is a piece of
 text; an operation re-encodes the characters that one encoding would have produced and decodes the
 bytes as another, or resolves escapes.  States are ordered by the implausibility of their characters
-plus the operations so far, visited ones are kept in a hash set, and the cheapest reachable text wins.
+plus the price of the operations so far, visited ones are kept in a hash set, and the cheapest reachable
+text wins.  The search ends by itself: a state is left alone once another operation would cost as much
+as the best text found, operations that decode several bytes shorten the text, and two changes of
+single bytes never follow each other.  Neither states nor depth nor length are capped.
+
+Operations are one to one where they apply (decoding is strict), so a path can be played back to the
+text as it was.
 """
 
 from __future__ import annotations
@@ -23,12 +29,19 @@ from ..sources.tables import spread
 READ_AS = ["cp1252", "cp1250", "cp1251", "cp437", "cp850", "cp852", "cp866", "mac_roman", "koi8_r", "cp1254", "cp1253"]
 #: Single-byte confusions of Cyrillic: (read as, really).
 SWAPS = [("cp1252", "cp1251"), ("cp1251", "koi8_r"), ("koi8_r", "cp1251"), ("cp1252", "koi8_r"), ("cp1251", "cp866"), ("cp866", "cp1251"), ("cp1252", "cp866"), ("mac_roman", "cp1251"), ("cp437", "cp1251"), ("cp437", "cp866")]
-OPERATION, MAX_STATES, MAX_DEPTH = 1.0, 64, 4
-#: Longest piece that is searched as one state; pieces are cut at white space, longer words anywhere.
-PIECE = 400
-
-# Everyday letters of the corpus' eight languages beyond ASCII, and marks of ordinary typography.
+#: Single-byte confusions of Latin letters: (read as, really).  Those that only turn letters into other letters (cp1250)
+#: can't be told from names of other languages.
+LATIN_SWAPS = [("cp437", "cp1252"), ("cp850", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("cp1252", "mac_roman")]
+#: Price of an operation, and of a confusion of Latin letters, which leaves less evidence.
+OPERATION, LATIN_OPERATION = 1.0, 2.5
+#: Text up to this cost (that of a sign that stands alone) is ordinary.
+ORDINARY = 1.0
+
+# Everyday letters of the corpus' eight languages beyond ASCII, their accents, the most frequent Russian ones,
+# and marks of ordinary typography.
 LETTERS = "áàâãäçéèêëíîïñóôõöœúùûüßŋɛ" + "абвгдежзийклмнопрстуфхцчшщъыьэюяё"
+ACCENTS = "\u0300\u0301\u0302\u0303\u0308\u030a\u0327"
+COMMON = "оеаинтсрвл"
 MARKS = "‘’“”„‚«»‹›–—…•¡¿·′″"
 #: Letters that are proper somewhere but not in these languages cost more than these.
 _USUAL = set(LETTERS) | set(LETTERS.upper())
@@ -56,6 +69,8 @@ def _set(chars) -> str:
 class _Reader:
     """UTF-8 sequences as they look when read as one encoding."""
 
+    price = OPERATION
+
     def __init__(self, encoding: str):
         self.map = _bytes_of(encoding)
         of = lambda lo, hi: _set(c for c, b in self.map.items() if lo <= b <= hi)
@@ -73,18 +88,46 @@ class _Reader:
 
 
 class _Swap:
-    """Runs of words made of one encoding's upper half, decoded as another."""
+    """Text made of one encoding's upper half, decoded as another; None where it does not apply."""
 
     def __init__(self, read_as: str, really: str):
-        self.map, self.really = _bytes_of(read_as), really
-        high = _set(self.map)
-        self.pattern = re.compile(f"{high}+")
+        self.map, self.read_as, self.really = _bytes_of(read_as), read_as, really
+        self.pattern = re.compile(f"{_set(self.map)}+")
 
-    def _one(self, m: re.Match) -> str:
-        return bytes(self.map[c] for c in m.group()).decode(self.really, "replace")
+    def swapped(self, text: str) -> str | None:
+        try:
+            return self.pattern.sub(lambda m: bytes(self.map[c] for c in m.group()).decode(self.really), text)
+        except UnicodeDecodeError:
+            return None
 
-    def apply(self, text: str) -> str:
-        return self.pattern.sub(self._one, text)
+
+class _CyrillicSwap(_Swap):
+    """Words without ASCII letters, all of whose letters become Cyrillic."""
+
+    price = OPERATION
+
+    def apply(self, text: str) -> str | None:
+        if not _SWAP_HINT.search(text) or _ASCII_LETTER.search(text):
+            return None
+        odd = lambda t: sum(c >= "\x80" for c in t)
+        if 2 * odd(READERS[f"utf-8 as {self.read_as}"].pattern.sub("", text)) <= odd(text):
+            return None  # that half of it is whole UTF-8 sequences is no accident
+        new = self.swapped(text)
+        letters = [c for c in new or "" if c.isalpha()]
+        return new if len(letters) >= 4 and all(map(_CYRILLIC.match, letters)) and re.search(r"\w{3}", new) else None
+
+
+class _LatinSwap(_Swap):
+    """A word in which what is no Latin letter stands between letters, all of whose odd characters become usual letters."""
+
+    price = LATIN_OPERATION
+
+    def apply(self, text: str) -> str | None:
+        if not _INSIDE.search(text):
+            return None
+        new = self.swapped(text)
+        letters = [c for c in new or "" if c.isalpha()]
+        return new if len(letters) >= 4 and not _INSIDE.search(new) and all(_script(c) == "L" and (c < "\x80" or c in _USUAL) for c in letters) else None
 
 
 _ESCAPE = re.compile(r"&(?:#\d{2,6}|#x[0-9a-fA-F]{2,5}|[A-Za-z][A-Za-z0-9]{1,30});|\\u[0-9a-fA-F]{4}")
@@ -93,12 +136,15 @@ _ESCAPE = re.compile(r"&(?:#\d{2,6}|#x[0-9a-fA-F]{2,5}|[A-Za-z][A-Za-z0-9]{1,30}
 class _Unescape:
     """Character references and ``\\u`` escapes."""
 
+    price = OPERATION
+
     def apply(self, text: str) -> str:
         return _ESCAPE.sub(lambda m: html.unescape(m.group()) if m.group()[0] == "&" else chr(int(m.group()[2:], 16)), text)
 
 
 READERS = {f"utf-8 as {e}": _Reader(e) for e in READ_AS}
-SWAPPERS = {f"{r} as {e}": _Swap(e, r) for e, r in SWAPS}
+CYRILLIC = {f"{r} as {e}": _CyrillicSwap(e, r) for e, r in SWAPS}
+SWAPPERS = CYRILLIC | {f"{r} as {e}, Latin": _LatinSwap(e, r) for e, r in LATIN_SWAPS}
 UNESCAPE = {"escaped": _Unescape()}
 
 _C1 = re.compile("[\x80-\x84\x86-\x9f]")
@@ -113,7 +159,7 @@ def _kind(c: str) -> str:
     if c == _LOST:
         return "x"
     cat = ud.category(c)
-    if cat == "Mn" and ord(c) - 0x300 in range(0x70):
+    if c in ACCENTS:
         return "u"
     if cat[0] in "LM":
         return "l" if ord(c) < 0x530 or 0x1E00 <= ord(c) < 0x2000 else "c"  # scripts far from the corpus' own
@@ -143,9 +189,14 @@ def cost(text: str) -> float:
     """How implausible the characters of ``text`` are, each in its place; 0 for ordinary text.
 
     Control characters cost most, then escapes that could be resolved, then symbols that touch letters, letters foreign to the corpus'
-    languages, capitals after small letters, scripts that change inside a word.
+    languages, capitals after small letters, words in inverted case, scripts that change inside a word.
     """
     total, n = 0.0, len(text)
+    if _CYRILLIC.search(text):
+        letters = [c for c in text.lower() if _CYRILLIC.match(c)]
+        if len(letters) >= 8:  # of two ways to read single bytes the one with the everyday letters
+            total += 1.0 - sum(c in COMMON for c in letters) / len(letters)
+        total += 2.0 * sum(1 for w in text.split() if len(w) > 2 and w[0].islower() and w[1:].isupper())
     if "&" in text or "\\u" in text:
         total += 2.0 * sum(1 for m in _ESCAPE.finditer(text) if UNESCAPE["escaped"].apply(m.group()) != m.group())
     for i, c in enumerate(text):
@@ -172,6 +223,8 @@ def cost(text: str) -> float:
         else:
             if k == "l":
                 total += 2.0
+            elif ud.combining(c) and not (before.isalpha() or ud.combining(before)):
+                total += 3.0
             if c.isupper() and before.islower():
                 total += 2.0
             if c.islower() and i > 1 and before.isupper() and before >= "\x80" and text[i - 2].islower():
@@ -182,137 +235,130 @@ def cost(text: str) -> float:
     return total
 
 
-def search(text: str, operations: dict) -> tuple[str, tuple[str, ...]]:
-    """The cheapest text that the operations reach, and how: best-first, each state once.
+OPERATIONS = READERS | UNESCAPE | SWAPPERS
+
+
+def search(text: str, operations: dict = OPERATIONS) -> tuple[str, tuple[str, ...], bool]:
+    """The cheapest text that the operations reach, how, and whether it is the only one at that cost: best-first, each state once.
 
-    An operation counts as :data:`OPERATION`, so text stays as it is unless it gains more than that.
+    Text stays as it is unless it gains more than the price of the operations.
     """
     start = cost(text)
-    best = (start, text, ())
-    heap, seen, n = [(start, 0, text, ())], {hash(text)}, 0
-    while heap and n < MAX_STATES:
-        _, _, state, path = heapq.heappop(heap)
-        n += 1
-        if len(path) == MAX_DEPTH:
-            continue
+    best, alone = (start, text, ()), True
+    heap, seen = [(start, 0, text, (), 0.0)], {text}
+    while heap:
+        _, _, state, path, spent = heapq.heappop(heap)
         for name, op in operations.items():
+            price = spent + op.price
+            if price > best[0] or name in SWAPPERS and path and path[-1] in SWAPPERS:
+                continue
             new = op.apply(state)
-            h = hash(new)
-            if new == state or h in seen:
+            if new is None or new in seen:
                 continue
-            seen.add(h)
-            c = cost(new)
-            total = c + OPERATION * (len(path) + 1)
+            seen.add(new)
+            total = cost(new) + price
             if total < best[0]:
-                best = (total, new, (*path, name))
-            heapq.heappush(heap, (total, len(seen), new, (*path, name)))
-    return best[1], best[2]
+                best, alone = (total, new, (*path, name)), True
+            elif total == best[0]:
+                alone = False
+            heapq.heappush(heap, (total, len(seen), new, (*path, name), price))
+    return best[1], best[2], alone
 
 
-_TOKEN_OPS = READERS | UNESCAPE
 #: What can come from a wrong decoding: anything but usual letters and marks where they belong.
 _ODD = re.compile("[^\x00-\x7f" + "".join(sorted(_USUAL | set(MARKS) | {chr(c) for c in range(0x300, 0x370)})).replace("-", "\\-").replace("]", "\\]").replace("^", "\\^") + "]|[ÂÃâ][¡¿·«»‹›‘’“”„‚–—…•\xa0-\xbf]|[а-яё][А-ЯЁ]{2}|[‚]Ä|[^\x00-\x7f][‹›‚„]|&#?\\w+;|\\\\u[0-9a-fA-F]{4}")
 _ODD_TOKEN = re.compile(r"[^ \t\r\n]+")
-_SWAP_HINT = re.compile("[\xc0-\xff]{3}|[а-яё][А-ЯЁ]{2}|[─-╿Α-Ω]{2}|[¨¸°±-¿À-ÿ]{3}")
+_SWAP_HINT = re.compile("[\x80-\xff]{3}|[а-яё][А-ЯЁ]{2}|[─-╿Α-Ω]{2}")
 _CYRILLIC = re.compile("[А-яЁё]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
+#: What is no letter of the word's script between two of its letters; marks that join words aside.
+_INSIDE = re.compile(r"(?<=[a-z\u00df-\u00ff])(?:[^\x00-\x7f\w’–—·™©®°\u0300-\u036f\xad\u200b-\u200f\ufeff\xa0]|[\x80-\x9f¼½¾\u0370-\u03ff])(?=[a-z\u00df-\u00ff])")
 
-_cache: dict[str, tuple[str, tuple[str, ...]]] = {}
+#: What is left of a UTF-8 sequence that has lost a byte.
+_BROKEN = re.compile("â€|[ÂÃ][^\\w\\s,.;:!?)]")
 
+_cache: dict[str, tuple[str, tuple[str, ...], bool]] = {}
 
-def _token(t: str) -> tuple[str, tuple[str, ...]]:
+
+def _piece(t: str) -> tuple[str, tuple[str, ...], bool]:
     r = _cache.get(t)
     if r is None:
         if len(_cache) > 200_000:
             _cache.clear()
-        if len(t) > PIECE:
-            parts = [search(t[i : i + PIECE], _TOKEN_OPS) for i in range(0, len(t), PIECE)]
-            r = "".join(p[0] for p in parts), next((p[1] for p in parts if p[1]), ())
-        else:
-            r = search(t, _TOKEN_OPS)
+        r = search(t)
         if len(t) < 100:
             _cache[t] = r
     return r
 
 
+#: Words without ASCII letters in a row.
 _FOREIGN_RUN = re.compile(r"(?<![^ \t\r\n(\"“«‘':;,.!?—–-])(?:[^\x00-\x7f ]+(?:[ ,.!?;:)(\"'-]+|$))+")
 
 
-def _swap_line(line: str) -> tuple[str, tuple[str, ...]]:
-    """A line with words that were read in another single-byte encoding: runs of words without ASCII letters."""
-    out, path, at = [], (), 0
-    for m in _FOREIGN_RUN.finditer(line):
-        run = m.group()
-        if len(run) < 4 or not _SWAP_HINT.search(run):
-            continue
-        best = (cost(run), run, ())
-        for name, op in SWAPPERS.items():
-            new = op.apply(run)
-            letters = [c for c in new if c.isalpha()]
-            if len(letters) < 3 or any(not _CYRILLIC.match(c) for c in letters):
-                continue
-            c = cost(new) + OPERATION + 2.0 * sum(1 for w in new.split() if len(w) > 2 and w[0].islower() and w[1:].isupper())
-            if c < best[0]:
-                best = (c, new, (name,))
-        if best[2]:
-            out += [line[at : m.start()], best[1]]
-            at, path = m.end(), best[2]
-    return ("".join(out) + line[at:], path) if path else (line, ())
-
+class _Restoration:
+    """One text on its way back."""
 
-def restore(text: str) -> tuple[str, bool]:
-    """``(restored text, garbled)``.
+    def __init__(self):
+        self.paths: set[tuple[str, ...]] = set()
+        self.whole = True  # all that was restored is ordinary text
 
-    ``garbled``: some characters come from a wrong decoding, whether or not they can be restored
-    (replacement characters and stray control characters cannot).  Escapes are resolved but are no
-    wrong decoding.  Empty and ordinary texts come
-    back as they are.
-    """
-    if text.isascii() and not _ESCAPE.search(text) or not _ODD.search(text):
-        return text, False
-    garbled = _LOST in text or bool(_C1.search(text))
-    lines = text.split("\n")
-    known: set[tuple[str, ...]] = set()
-    for n, line in enumerate(lines):
-        if not _ODD.search(line):
-            continue
-        out, at, used = [], 0, set()
-        for m in _ODD_TOKEN.finditer(line):
+    def over(self, pieces: re.Pattern, line: str, using: dict | None = None) -> str:
+        """``line`` with its odd pieces restored; only where one of the operations ``using`` took part, if given."""
+        out, at = [], 0
+        for m in pieces.finditer(line):
             t = m.group()
-            if _ODD.search(t):
-                new, path = _token(t)
-                if path and new != t:
+            if not t.isascii() and (_ODD.search(t) or _SWAP_HINT.search(t)) or _ESCAPE.search(t):
+                new, path, alone = _piece(t)
+                if path and (using is None or any(name in using for name in path)):
                     out += [line[at : m.start()], new]
                     at = m.end()
-                    used.add(path)
-        line = "".join(out) + line[at:]
-        if any(name != "escaped" for path in used for name in path):
-            garbled = True
-            known |= used
-        if _SWAP_HINT.search(line):
-            line, path = _swap_line(line)
-            garbled |= bool(path)
-        lines[n] = line
-    if known:
-        lines = [line if line.isascii() else _carry(line, known) for line in lines]
-    return "\n".join(lines), garbled
-
-
-def _carry(line: str, used: set[tuple[str, ...]]) -> str:
-    """Apply what restored the odd tokens of a text to its other tokens too, where that costs nothing."""
-
-    def one(m: re.Match) -> str:
-        t = m.group()
-        if t.isascii():
+                    self.paths.add(path)
+                    self.whole &= alone and cost(new) <= ORDINARY
+        return "".join(out) + line[at:]
+
+    def carry(self, line: str) -> str:
+        """Apply what restored the odd pieces of a text to its other words too, where that costs nothing."""
+
+        def one(m: re.Match) -> str:
+            t = m.group()
+            if t.isascii():
+                return t
+            for path in self.paths:
+                new = t
+                for name in path:
+                    new = new and OPERATIONS[name].apply(new)
+                if new and new != t and cost(new) <= cost(t) and all(kind(c) in "umls" for c in new if c >= "\x80"):
+                    self.whole &= cost(new) <= ORDINARY
+                    return new
             return t
-        for path in used:
-            new = t
-            for name in path:
-                new = _TOKEN_OPS[name].apply(new)
-            if new != t and cost(new) <= cost(t) and all(kind(c) in "umls" for c in new if c >= "\x80"):
-                return new
-        return t
 
-    return _ODD_TOKEN.sub(one, line)
+        return _ODD_TOKEN.sub(one, line)
+
+
+def restore(text: str) -> tuple[str, bool, bool]:
+    """``(restored text, garbled, whole)``.
+
+    ``garbled``: some characters come from a wrong decoding, whether or not they can be restored
+    (replacement characters and stray control characters cannot).  ``whole``: all of them are restored and
+    what came out is ordinary text, so that playing the operations back gives the text as it was.
+    Escapes are resolved but are no wrong decoding.  Empty and ordinary texts come back as they are.
+    """
+    if text.isascii() and not _ESCAPE.search(text) or not (_ODD.search(text) or _SWAP_HINT.search(text)):
+        return text, False, False
+    lost = _LOST in text or bool(_C1.search(text))
+    lines = text.split("\n")
+    r = _Restoration()
+    for n, line in enumerate(lines):
+        if _ODD.search(line) or _SWAP_HINT.search(line):
+            if not line.isascii():  # single bytes are told by several words rather than by one
+                line = r.over(_FOREIGN_RUN, line, CYRILLIC)
+            lines[n] = r.over(_ODD_TOKEN, line)
+    read = any(name in READERS for path in r.paths for name in path)
+    if read:
+        lines = [line if line.isascii() else r.carry(line) for line in lines]
+    garbled = lost or any(name != "escaped" for path in r.paths for name in path)
+    new = "\n".join(lines)
+    return new, garbled, garbled and new != text and r.whole and _LOST not in new and not _C1.search(new) and not _BROKEN.search(new)
 
 
 def _run(docs: DataFrame, key: str, text: str, with_text: bool) -> DataFrame:
@@ -324,9 +370,9 @@ def _run(docs: DataFrame, key: str, text: str, with_text: bool) -> DataFrame:
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not t:
                     continue
-                new, garbled = restore(t)
+                new, garbled, whole = restore(t)
                 if garbled:
-                    out.append((k, new, new != t and _LOST not in new and not _C1.search(new)) if with_text else (k,))
+                    out.append((k, new, whole) if with_text else (k,))
             cols = list(zip(*out)) if out else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
@@ -339,5 +385,5 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def restored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, text, restored``: those documents as far as they can be restored; ``restored``: completely."""
+    """``key, text, restored``: those documents as far as they can be restored; ``restored``: completely, to ordinary text."""
     return _run(docs, key, text, True)
