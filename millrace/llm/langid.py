@@ -12,6 +12,7 @@ sentences of any language reach is rejected as ``und``.
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -31,8 +32,6 @@ RUN = 4
 #: Lower ones find more runs of four held-out words, but more sound texts come apart (README).
 SWITCH, SWITCH_AT_MARK = 16.0, 10.0
 UNDETERMINED = "und"
-#: Words that are segmented at once.
-LONG = 50_000
 
 # Spellings of language names and codes, in lower case without region.
 SPELLINGS = {
@@ -292,26 +291,6 @@ class Identifier:
         return out
 
     def segments(self, texts: list[str | None], least: int = RUN) -> list[list[tuple[int, int, str, float]]]:
-        """As :meth:`_segments`; texts of more than :data:`LONG` words go through in blocks, whose runs are joined."""
-        plain = [None if t and len(t) > 2 * LONG and len(t.split()) > LONG else t for t in texts]
-        out = self._segments(plain, least)
-        for n, (t, p) in enumerate(zip(texts, plain)):
-            if t is not p:
-                w = clean(t).split()
-                cuts = list(range(0, max(1, len(w) - LONG // 2), LONG)) + [len(w)]
-                runs: list[list] = []
-                for a, b in zip(cuts, cuts[1:]):
-                    for x, y, lang, conf in self._segments([" ".join(w[a:b])])[0]:
-                        if runs and runs[-1][2] == lang:
-                            size, more = runs[-1][1] - runs[-1][0], y - x
-                            runs[-1][3] = (runs[-1][3] * size + conf * more) / (size + more)
-                            runs[-1][1] = a + y
-                        else:
-                            runs.append([a + x, a + y, lang, conf])
-                out[n] = [tuple(r) for r in runs]
-        return out
-
-    def _segments(self, texts: list[str | None], least: int = RUN) -> list[list[tuple[int, int, str, float]]]:
         """For each text its runs ``(first word, last word + 1, language, confidence)``.
 
         Runs of fewer than :data:`RUN` words with letters join a neighbour; a text of one language, or of
@@ -375,24 +354,45 @@ class Identifier:
         return [self.languages[k] if ok else UNDETERMINED for k, ok in zip(chosen.tolist(), known.tolist())], np.where(size > 0, conf, 0.0).tolist()
 
     def _runs(self, path: np.ndarray, cuts: list[int], scores: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
-        runs = [[a, b, int(path[a])] for a, b in zip([0, *cuts], [*cuts, len(path)])]
-        words = lambda q: int((sizes[runs[q][0] : runs[q][1]] > 0).sum())
-        while len(runs) > 1:
-            short = min(range(len(runs)), key=words)
-            if words(short) >= RUN:
-                break
-            a, b, _ = runs[short]
-            to = max((q for q in (short - 1, short + 1) if 0 <= q < len(runs)), key=lambda q: scores[a:b, runs[q][2]].sum())
-            runs[to][0], runs[to][1] = min(runs[to][0], a), max(runs[to][1], b)
-            del runs[short]
-            merged: list[list[int]] = []
-            for x in runs:
-                if merged and merged[-1][2] == x[2]:
-                    merged[-1][1] = x[1]
-                else:
-                    merged.append(x)
-            runs = merged
-        return runs
+        """``[first word, last word + 1, language]`` of the runs of a path, those of too few words given to a neighbour.
+
+        The shortest run goes first, to the neighbour whose language suits it better; neighbours of one
+        language that then meet are one run.  A linked list and a heap, so the order of n runs costs n log n.
+        """
+        begin, end = [0, *cuts], [*cuts, len(path)]
+        lang = [int(path[a]) for a in begin]
+        filled = np.concatenate([[0], np.cumsum(sizes[: len(path)] > 0)])
+        words = [int(filled[b] - filled[a]) for a, b in zip(begin, end)]
+        before, after = list(range(-1, len(begin) - 1)), [*range(1, len(begin)), -1]
+        alive = [True] * len(begin)
+        heap = [(w, a, q) for q, (w, a) in enumerate(zip(words, begin)) if w < RUN]
+        heapq.heapify(heap)
+
+        def join(q: int, to: int) -> None:
+            """Make ``q`` part of its neighbour ``to``."""
+            alive[q] = False
+            begin[to], end[to], words[to] = min(begin[to], begin[q]), max(end[to], end[q]), words[to] + words[q]
+            if before[q] >= 0:
+                after[before[q]] = after[q]
+            if after[q] >= 0:
+                before[after[q]] = before[q]
+
+        left = len(begin)
+        while heap and left > 1:
+            n, a, q = heapq.heappop(heap)
+            if not alive[q] or n != words[q] or a != begin[q]:
+                continue  # it has changed since
+            near = [x for x in (before[q], after[q]) if x >= 0]
+            to = max(near, key=lambda x: scores[a : end[q], lang[x]].sum())
+            join(q, to)
+            left -= 1
+            for x in (before[to], after[to]):
+                if x >= 0 and lang[x] == lang[to]:
+                    join(x, to)
+                    left -= 1
+            if words[to] < RUN:
+                heapq.heappush(heap, (words[to], begin[to], to))
+        return sorted([begin[q], end[q], lang[q]] for q in range(len(alive)) if alive[q])
 
 
 # ---- distribution ---------------------------------------------------------------------------------------------------
@@ -422,8 +422,8 @@ def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str,
     """``key, field_name, seg_no, lang, confidence`` (and ``label`` unless ``cases_only``) of each text of ``least`` or more words.
 
     ``fields`` maps text columns to their label columns.  A text of several languages gives one row for
-    each run; with ``cases_only``, texts of one language only where their label is missing or wrong, and
-    nothing that is rejected.  Narrow: one pass, no shuffle.
+    each run, numbered in text order; with ``cases_only``, texts of one language only where their label is
+    missing or wrong, and nothing that is rejected, but with the same numbers.  Narrow: one pass, no shuffle.
     """
     schema = pa.schema([(key, pa.int64()), ("field_name", pa.string()), ("seg_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64())] + ([] if cases_only else [("label", pa.string())]))
 
@@ -437,12 +437,12 @@ def segments(df: DataFrame, key: str, fields: dict[str, str], samples: dict[str,
                 for k, said, segs in zip(keys, labels, ident.segments(b.column(field).to_pylist(), least)):
                     if not segs:
                         continue
+                    runs = [(n, lang, conf) for n, (_, _, lang, conf) in enumerate(segs)]
                     if cases_only:
-                        if len(segs) == 1 and (segs[0][2] == UNDETERMINED or label(said) == segs[0][2]):
-                            continue
-                        segs = [s for s in segs if s[2] != UNDETERMINED]
-                    for n, (_, _, lang, conf) in enumerate(segs):
-                        out.append((k, field, n, lang, conf) if cases_only else (k, field, n, lang, conf, label(said)))
+                        runs = [r for r in runs if r[1] != UNDETERMINED]
+                        if len({r[1] for r in runs}) == 1:  # a text of one language, whatever was rejected beside it
+                            runs = [] if label(said) == runs[0][1] else [(0, *max(runs, key=lambda r: r[2])[1:])]
+                    out += [(k, field, *r) if cases_only else (k, field, *r, label(said)) for r in runs]
             cols = list(zip(*out)) if out else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 

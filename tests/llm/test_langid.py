@@ -1,6 +1,8 @@
 import os
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +131,34 @@ def test_recall_of_runs_of_four_words(spark):
     assert np.mean(found[False]) >= 0.97 and np.mean(found[True]) >= 0.5, {k: np.mean(v) for k, v in found.items()}
     whole = [" ".join(x + y) for v in held.values() for x, y in zip(v, v[1:])]
     assert all(len(s) == 1 for s in fit.segments(whole))
+
+
+def test_long_texts_are_one_piece(ident):
+    en, ru = sentences("en", 8_000, seed=1), sentences("ru", 3, seed=2)
+    words = [w.strip(".") for s in en for w in s.split()][:49_998] + [w.strip(".") for s in ru for w in s.split()]
+    segs = ident.segments([" ".join(words)])[0]
+    assert [(a, z, lang) for a, z, lang, _ in segs] == [(0, 49_998, "en"), (49_998, len(words), "ru")]
+
+
+def test_many_short_runs_are_merged_fast(ident):
+    path = np.arange(100_000) % 2
+    rng = np.random.default_rng(0)
+    began = time.time()
+    runs = ident._runs(path, list(range(1, len(path))), rng.normal(size=(len(path), 2)), np.ones(len(path)))
+    assert time.time() - began < 5 and runs[0][0] == 0 and runs[-1][1] == len(path) and all(b - a >= L.RUN for a, b, _ in runs)
+
+
+def test_cases_have_the_numbers_of_all_runs(spark, rows, monkeypatch):
+    runs = [[(0, 4, "en", 0.9), (4, 8, "und", 0.0), (8, 12, "ru", 0.9)], [(0, 4, "en", 0.9), (4, 8, "und", 0.0)], [(0, 4, "und", 0.0)]]
+
+    class Fake:
+        segments = staticmethod(lambda texts, least: [runs[int(t)] for t in texts])
+
+    monkeypatch.setattr(L, "identifier", lambda _: Fake())
+    batch = pa.RecordBatch.from_pydict({"k": [1, 2, 3, 4], "t": ["0", "1", "1", "2"], "l": ["en", "en", "fr", None]})
+    taken = []
+    df = type("D", (), {"select": lambda self, *_: self, "mapInArrow": lambda self, f, ddl: taken.extend(f([batch]))})()
+    monkeypatch.setattr(L, "spread", lambda d: d)
+    monkeypatch.setattr(L.F, "col", lambda c: type("C", (), {"cast": lambda s, t: s, "alias": lambda s, a: s})())
+    L.segments(df, "k", {"t": "l"}, {}, cases_only=True)
+    assert [(r["k"], r["seg_no"], r["lang"]) for r in taken[0].to_pylist()] == [(1, 0, "en"), (1, 2, "ru"), (3, 0, "en")]
