@@ -2,10 +2,13 @@
 
 ``skeleton`` is the confusables skeleton of Unicode Technical Standard 39: decompose, replace every
 character by its prototype, decompose again; texts with equal skeletons look alike.  ``clean`` is the
-one consistent form: composed, ordinary widths and spaces, nothing invisible, each word in one script.
+one consistent form: composed, ordinary widths and spaces, nothing invisible, each word in one script.  A text
+is a case if it is not its consistent form though the two have one skeleton.
 
-The prototype table is made by rules (compatibility decompositions of width, ligature and font
-variants, white space, format characters) plus the listed look-alike letters.
+The prototypes are those of the whole published table (:mod:`confusables`), after rules for what it leaves
+to normalisation (width, ligature and font variants, white space, format characters) and the listed letters
+of Cyrillic and Greek, which the table keeps apart where typefaces do, though not where they are put in for
+Latin ones.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import confusables
+
 # Letters of Cyrillic and Greek that look like Latin ones, upper and lower case.
 CYRILLIC_LIKE = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C",
@@ -28,7 +33,7 @@ CYRILLIC_LIKE = {
 GREEK_LIKE = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T",
     "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "α": "a", "ι": "i", "κ": "k", "ρ": "p", "υ": "u", "χ": "x", "γ": "y", "ε": "ɛ",
-    "ό": "ó", "ά": "á", "έ": "έ", "ϳ": "j", "ϲ": "c", "Ϲ": "C", "Ϳ": "J", "τ": "t", "η": "n", "ω": "w", "σ": "o", "β": "ß",
+    "ό": "ó", "ά": "á", "έ": "ɛ\u0301", "ϳ": "j", "ϲ": "c", "Ϲ": "C", "Ϳ": "J", "τ": "t", "η": "n", "ω": "w", "σ": "o", "β": "ß",
 }
 #: Look-alikes that are close enough to replace a letter inside a word of another script, but that are letters of words as well.
 _LATIN_OF = CYRILLIC_LIKE | GREEK_LIKE
@@ -67,8 +72,36 @@ def _table() -> tuple[dict[int, str], set[str], set[str], set[str], set[str]]:
     return prototypes, wide, ligatures, invisible, spaces
 
 
-PROTOTYPES, WIDE, LIGATURES, INVISIBLE, SPACES = _table()
-_PLAIN = {ord(c): PROTOTYPES[ord(c)] for c in WIDE | LIGATURES | INVISIBLE | SPACES}
+_RULES, WIDE, LIGATURES, INVISIBLE, SPACES = _table()
+_PLAIN = {ord(c): _RULES[ord(c)] for c in WIDE | LIGATURES | INVISIBLE | SPACES}
+_PUBLISHED = confusables.table()
+
+
+def _prototypes() -> dict[int, str]:
+    """The published prototypes; what a rule replaces gets those of its replacement."""
+    final = lambda t: "".join(_PUBLISHED.get(x, x) for x in ud.normalize("NFD", t))
+    return {ord(c): final(p) for c, p in _PUBLISHED.items()} | {cp: final(p) for cp, p in _RULES.items()}
+
+
+PROTOTYPES = _prototypes()
+
+
+def _others() -> dict[str, str]:
+    """Letters of all other scripts that have a Latin prototype, and the Latin letter they stand for."""
+    stands: dict[tuple[str, bool], str] = {}
+    for c in map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250), *range(0x250, 0x2B0)]):
+        if c.isalpha():
+            p = "".join(PROTOTYPES.get(ord(x), x) for x in ud.normalize("NFD", c))
+            stands.setdefault((p, c.isupper()), c)
+    out = {}
+    for c, p in _PUBLISHED.items():
+        if ud.category(c)[0] == "L" and _script(c) == "?" and ord(c) not in _RULES:
+            p = PROTOTYPES[ord(c)]
+            # Scripts without case look like capitals where the prototype is one.
+            latin = stands.get((p, c.isupper())) or stands.get((p, not c.isupper()))
+            if latin:
+                out[c] = latin
+    return out
 
 
 def _class(chars) -> str:
@@ -84,15 +117,6 @@ def _class(chars) -> str:
     return "".join(out)
 
 
-_ALIEN = "Ͱ-ϿЀ-ԯἀ-῿"
-#: Characters that have a plain form whatever stands around them.
-_CODED = re.compile(f"[{_class(WIDE | LIGATURES | INVISIBLE | SPACES)}]")
-#: Letters of scripts that share shapes with Latin.
-_OTHER_SCRIPT = re.compile(f"[{_ALIEN}]")
-_SUSPECT = re.compile(f"[{_class(WIDE | LIGATURES | INVISIBLE | SPACES)}{_ALIEN}]")
-_WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]*[^\W\d_]*)*")
-
-
 def _script(c: str) -> str:
     o = ord(c)
     if o < 0x250 or 0x250 <= o < 0x2B0 or 0x1E00 <= o < 0x1F00 or 0x2C60 <= o < 0x2C80 or 0xA720 <= o < 0xA800:
@@ -104,21 +128,34 @@ def _script(c: str) -> str:
     return "" if 0x300 <= o < 0x370 else "?" if c.isalpha() else ""
 
 
+OTHER_LIKE = _others()
+_LATIN_OF |= OTHER_LIKE
+_ALIEN = "Ͱ-ϿЀ-ԯἀ-῿" + _class(OTHER_LIKE)
+#: Characters that have a plain form whatever stands around them.
+_CODED = re.compile(f"[{_class(WIDE | LIGATURES | INVISIBLE | SPACES)}]")
+#: Letters of scripts that share shapes with Latin.
+_OTHER_SCRIPT = re.compile(f"[{_ALIEN}]")
+_SUSPECT = re.compile(f"[{_class(WIDE | LIGATURES | INVISIBLE | SPACES)}{_ALIEN}]")
+_WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]*[^\W\d_]*)*")
+
+
 def skeleton(text: str) -> str:
     """Equal for texts that look alike.  Empty for empty text."""
-    if text.isascii():
-        return text
-    return ud.normalize("NFD", ud.normalize("NFD", text).translate(PROTOTYPES))
+    return ud.normalize("NFD", (text if text.isascii() else ud.normalize("NFD", text)).translate(PROTOTYPES))
 
 
 def _words(text: str) -> list[list]:
-    """``[start, end, scripts, own]`` of each word; ``own``: scripts with a letter that no other script has."""
+    """``[start, end, scripts, own]`` of each word; ``own``: scripts with a letter that no other script has.
+
+    Scripts are Latin, Cyrillic, Greek and any other that has letters which look like Latin ones.
+    """
     out = []
     for m in _WORD.finditer(text):
         scripts, own = set(), set()
+        known = "LCG?" if any(c in OTHER_LIKE for c in m.group()) else "LCG"
         for c in m.group():
             s = _script(c)
-            if s in ("L", "C", "G"):
+            if s and s in known:
                 scripts.add(s)
                 if not (c in _LATIN_OF if s != "L" else c in _CYRILLIC_OF):
                     own.add(s)
@@ -149,7 +186,8 @@ def _mixed(text: str) -> list[tuple[int, int, str]]:
         j = i
         while j < len(words) and words[j][2] == scripts:
             j += 1
-        if s != main and sure[main] and not any(words[k][3] for k in range(i, j)) and (s != "L" or main == "C") and (s == "L" or main == "L"):
+        long = s != "?" or all(words[k][1] - words[k][0] > 1 for k in range(i, j))  # single letters of another script are cited
+        if s != main and sure[main] and long and not any(words[k][3] for k in range(i, j)) and (s != "L" or main == "C") and (s == "L" or main == "L"):
             out += [(w[0], w[1], main) for w in words[i:j]]
         i = j
     return out
@@ -178,20 +216,17 @@ def clean(text: str) -> str:
 
 
 def is_case(text: str | None) -> bool:
-    """The text holds a character that only looks like the usual one.
+    """The text holds a character that only looks like the usual one: it is not its consistent form, and has the same skeleton.
 
-    Its skeleton then differs from its decomposition, or it is not composed; whether letters of
-    another script stand in for the text's own is decided by the words around them.  NULL and empty: no.
+    Whether letters of another script stand in for the text's own is decided by the words around them.
+    NULL and empty: no.
     """
     if not text or text.isascii():
         return False
-    if not ud.is_normalized("NFC", text):
-        return True
-    if not _SUSPECT.search(text):
-        return False  # no character with a prototype: the skeleton is the decomposition itself
-    if skeleton(text) == ud.normalize("NFD", text):
-        return False
-    return bool(_CODED.search(text)) or bool(_mixed(text))
+    if not _SUSPECT.search(text) and ud.is_normalized("NFC", text):
+        return False  # no character that has another form
+    consistent = clean(text)
+    return consistent != text and skeleton(consistent) == skeleton(text)
 
 
 def _over_fields(df: DataFrame, key: str, fields: list[str], per_text, schema: pa.Schema, ddl: str) -> DataFrame:

@@ -1,6 +1,9 @@
+import unicodedata as ud
+
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.llm import confusables
 from millrace.llm import skeleton as S
 
 CASES = ["e\u0301 x", "ｆｕｌｌ text", "ﬁne", "zero\u200bwidth", "\ufeffbom", "no\u00a0break", "thin\u2009space", "ideographic\u3000space", "soft\u00adhyphen", "pаy", "Тhe dog", "ǌuvo", "Наш сосед cторожит лодку", "οmega in Latin: οf", "The саr is red", "x\ufeff", "Ι trust him"]
@@ -32,3 +35,31 @@ def test_found_and_groups(spark, rows):
     got = S.groups(df, "rec_id", ["input", "output"]).collect()
     assert len(got) == 1 and (got[0].n_texts, got[0].n_rows, got[0].first_id) == (2, 3, 1)
     assert S.found(df.limit(0), "rec_id", ["input"]).count() == 0 and S.groups(df.limit(0), "rec_id", ["input"]).count() == 0
+
+
+@pytest.mark.parametrize("text,plain", [("hՕuse here is big", "hOuse here is big"), ("the Ꭺpple is big", "the Apple is big"), ("ꓮpple pie", "Apple pie"), ("wⲟrd by word", "word by word"), ("an օօ sound of words", "an oo sound of words")])
+def test_other_scripts(text, plain):
+    assert S.is_case(text) and S.clean(text) == plain and S.skeleton(text) == S.skeleton(plain)
+
+
+def test_other_scripts_where_they_belong():
+    for text in ("Մենք խոսում ենք հայերեն", "հայերեն is a language", "the letter Օ here", "Tシャツ is nice", "هو يقرأ الكتاب", "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ", "ꓡꓲ-ꓢꓴ ꓥꓳꓰ"):
+        assert not S.is_case(text) and S.clean(text) == text, text
+
+
+def test_every_listed_letter_shares_its_skeleton():
+    for c, latin in S._LATIN_OF.items():
+        assert S.skeleton(c) == S.skeleton(latin), c
+    for a, b in (("ⅼ", "l"), ("ɑ", "a"), ("Օ", "O"), ("Ꭺ", "A"), ("ꓮ", "A"), ("rn", "m"), ("１", "l"), ("ﬁ", "fi"), (" ", " "), ("x​y", "xy")):
+        assert S.skeleton(a) == S.skeleton(b)
+
+
+def test_published_table_against_the_library(spark):
+    table = confusables.table()
+    assert len(table) > 6_000
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    own = lambda t: ud.normalize("NFD", "".join(table.get(c, c) for c in ud.normalize("NFD", t)))
+    for c in sorted(table)[::7]:
+        if ud.category(c) not in ("Cf", "Cn"):  # the library drops what is ignorable
+            t = f"ab{c}d"
+            assert checker.getSkeleton(0, t) == own(t), repr(t)
