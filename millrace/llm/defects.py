@@ -11,6 +11,7 @@ last word (nearly) never ends a sentence, or is no word at all elsewhere, breaks
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -38,29 +39,32 @@ FOREIGN = 14.0
 #: Counted words that a task holds before it passes them on.
 FLUSH = 200_000
 
-# What stands for an answer that isn't there, compared without case, brackets and punctuation.
+# What stands for an answer that isn't there, compared without case, brackets and punctuation.  The second list
+# holds words that can be an answer themselves.
 PLACEHOLDERS = {
-    "todo", "to do", "null", "na", "n a", "tbd", "none", "empty", "no output", "missing", "undefined", "nan", "nil", "placeholder", "blank",
-    "no answer", "no response", "no translation", "not available", "not applicable", "fixme", "xxx", "output", "answer", "translation", "pending", "tba", "unknown",
+    "todo", "to do", "null", "na", "n a", "tbd", "tba", "tbc", "nan", "nil", "fixme", "xxx", "placeholder", "no output", "no answer", "no response", "no translation", "no text",
+    "no data", "no value", "not available", "not applicable", "not translated", "no result", "insert answer here", "your answer here", "answer here", "output here", "to be done",
 }
+PLACEHOLDER_WORDS = {"none", "empty", "missing", "undefined", "blank", "output", "answer", "response", "translation", "pending", "unknown", "nothing", "text", "string", "result"}
+_MOST_WORDS = max(len(p.split()) for p in PLACEHOLDERS)
 
 # Words by which a refusal speaks of itself, and of its task, by language.
 REFUSALS = {
     "en": (
-        r"\bi(?:'m| am)? (?:\w+ ){0,2}?(?:cannot|can't|can not|unable|not able|not allowed|not permitted|won't|will not|don't|do not|have to refuse|have to decline|must refuse|must decline|refuse|decline|may|could not|couldn't)\b|not possible for me|(?:could|can) i offer|\bi could offer|something i am not|outside what i|my apologies|as an? (?:ai|language)",
-        r"translat\w*|this (?:sentence|question|request|instruction|prompt|task|text|input)|that (?:request|question|task)|(?:the|your) (?:task|request|instruction|prompt)\b|knowledge of|comfortable \w+ing|language (?:assistant|model)|help with that|assist (?:with|you)|outside what i",
+        r"\bi(?:'m| am)? (?:\w+ ){0,2}?(?:cannot|can't|can not|unable|not able|not allowed|not permitted|not going to|won't|will not|don't|do not|have to refuse|have to decline|must refuse|must decline|refuse|decline|may|could not|couldn't)\b|not possible for me|(?:could|can) i offer|\bi could offer|something i am not|outside what i|my apologies|\bsorry\b|\bapologi[sz]e|as an? (?:ai|language)|unable to (?:help|assist|comply|provide|translate)|cannot (?:be answered|be translated|comply)",
+        r"translat\w*|this (?:sentence|question|request|instruction|prompt|task|text|input)|that (?:request|question|task)|(?:the|your) (?:task|request|instruction|prompt)\b|knowledge of|comfortable \w+ing|language (?:assistant|model)|help (?:you )?with (?:that|this)|assist (?:you )?(?:with|you)|outside what i|fulfil+ |comply with|provide an answer",
     ),
-    "fr": (r"je ne (?:peux|puis|suis)|désolé|je regrette|malheureusement|impossible pour moi|je dois refuser|je refuse", r"tradui|traduction|cette (?:demande|tâche|phrase|question)|répondre|vous aider"),
-    "es": (r"no puedo|lo siento|lamento|lamentablemente|no me es posible|no estoy autorizad|debo rechazar", r"traducir|traducción|esta (?:solicitud|tarea|petición|pregunta|frase)|ayudar(?:te|le)|responder"),
-    "pt": (r"não posso|não consigo|sinto muito|desculp|infelizmente|não me é possível|devo recusar", r"traduzir|tradução|este pedido|esta (?:tarefa|pergunta|frase|solicitação)|ajudar|responder"),
-    "de": (r"ich kann|leider|tut mir leid|entschuldig|nicht möglich|muss ablehnen|darf ich nicht", r"übersetz|diese (?:anfrage|aufgabe|frage)|diesen satz|weiterhelfen|beantworten"),
-    "sw": (r"siwezi|samahani|kwa bahati mbaya|haiwezekani|sina uwezo|siruhusiwi", r"kutafsiri|tafsiri|ombi hili|swali hili|kazi hii|kujibu|kukusaidia"),
-    "ru": (r"не могу|извините|простите|к сожалению|не в состоянии|вынужден отказ|не имею права", r"перевест|перевод|этот запрос|эту (?:просьбу|задачу)|это задание|помочь|ответить"),
-    "bld": (r"(?!)", r"(?!)"),
+    "fr": (r"je ne (?:peux|puis|suis|pourrai|saurais)|j'ai le regret|désolée?\b|je regrette|malheureusement|impossible (?:pour moi|de)|il m'est impossible|je dois (?:refuser|décliner)|je (?:refuse|décline)|toutes mes excuses|en tant qu(?:e modèle|'assistant|'ia)", r"tradui|traduction|cette (?:demande|tâche|phrase|question|requête|consigne)|répondre|vous aider|votre demande|ce texte"),
+    "es": (r"no puedo|no podr[ée]|lo siento|lamento|lamentablemente|desafortunadamente|me es imposible|no me es posible|no estoy autorizad|debo (?:rechazar|negarme)|me niego|mis disculpas|como (?:modelo|asistente|una ia)", r"traducir|traducción|esta (?:solicitud|tarea|petición|pregunta|frase|instrucción)|este texto|ayudar(?:te|le)|responder|tu (?:solicitud|petición)"),
+    "pt": (r"não posso|não poderei|não consigo|sinto muito|lamento|desculp|infelizmente|não me é possível|é-me impossível|devo recusar|recuso-me|como (?:modelo|assistente|uma ia)", r"traduzir|tradução|este (?:pedido|texto)|esta (?:tarefa|pergunta|frase|solicitação|instrução)|ajudar|responder|seu pedido"),
+    "de": (r"ich (?:kann|darf|werde|möchte) (?:\w+ ){0,5}?nicht|ich kann (?:leider )?kein|leider|tut mir leid|entschuldig|bedaure|nicht möglich|muss (?:ich )?ablehnen|lehne|als (?:sprachmodell|ki|assistent)", r"übersetz|diese[rn]? (?:anfrage|aufgabe|frage|bitte|text|satz)|diesen (?:satz|text)|weiterhelfen|beantworten|ihre (?:anfrage|bitte)|dabei helfen"),
+    "sw": (r"siwezi|sitaweza|samahani|naomba radhi|kwa bahati mbaya|haiwezekani|sina uwezo|siruhusiwi|ninakataa|kama modeli", r"kutafsiri|tafsiri|ombi (?:hili|lako)|swali (?:hili|lako)|kazi hii|sentensi hii|kujibu|kukusaidia"),
+    "ru": (r"не (?:могу|смогу|буду)|извините|простите|сожалею|к сожалению|не в состоянии|вынужден\w* отказ|отказываюсь|не имею права|невозможно|как языковая модель", r"перевест|перевод|этот запрос|этот текст|эту (?:просьбу|задачу)|это (?:задание|предложение)|ваш(?:у|ем|его)? (?:запрос|просьбу)|помочь|ответить"),
 }
 _REFUSALS = [(re.compile(a), re.compile(b)) for a, b in REFUSALS.values()]
 _FIRST = re.compile("|".join(f"(?:{a})" for a, _ in REFUSALS.values()))
 
+_WORD = re.compile(r"[^\W_]+")
 _BARE = re.compile(r"[^\w\s]|_")
 _END = ".!?。！？"
 _CLOSERS = "\"”’»›)]}'*"
@@ -91,14 +95,23 @@ def expected_language(instruction: str | None) -> str | None:
     return None
 
 
-def is_empty(output: str | None, inp: str | None) -> bool:
-    """Null, blank, without any letter or digit, or a mere placeholder that is no word of the input."""
+def is_empty(output: str | None, inp: str | None, wanted: str | None = None) -> bool:
+    """Null, blank, without any letter or digit, or a mere placeholder that is no word of the input.
+
+    A word that can be an answer is a placeholder in brackets, or where no such answer is asked for: a word in English,
+    if the answer is to be in Balanda or the input has more than two words.
+    """
     if not output:
         return True
-    if len(output) > 60:
-        return not any(c.isalnum() for c in output)
-    bare = " ".join(re.sub(r"[\W_]+", " ", clean(output)).lower().split())
-    return not bare or bare in PLACEHOLDERS and bare not in norm(inp)
+    plain = clean(output)
+    words = [m.group() for m in itertools.islice(_WORD.finditer(plain.lower()), _MOST_WORDS + 1)]
+    bare = " ".join(words)
+    if bare in PLACEHOLDERS:
+        return bare not in norm(inp)
+    if bare in PLACEHOLDER_WORDS:
+        bracketed = plain.strip()[0] in "[(<{*_-" or plain.strip().isupper()
+        return bare not in norm(inp) and (bracketed or wanted not in ("en", None) or len(norm(inp)) > 2)
+    return not words
 
 
 def is_refusal(output: str) -> bool:
@@ -229,15 +242,15 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
                 for a, z, lang, _ in segs:
                     heard[lang] += z - a
             for k, i, a, o, segs in zip(keys, instructions, inputs, outputs, spoken):
-                if is_empty(o, a):
-                    out.append((k, "empty", None, None, None, None))
-                    continue
                 if i not in asked:
                     if len(asked) > 10_000:
                         asked.clear()
                     w = norm(i)
                     asked[i] = w, expected_language(i), bool(w) and w[0] == "identify"
                 words, wanted, one_word = asked[i]
+                if is_empty(o, a, wanted):
+                    out.append((k, "empty", None, None, None, None))
+                    continue
                 if is_refusal(o):
                     out.append((k, "refusal", None, None, None, None))
                 if is_copy(words, norm(a), norm(o), one_word):
@@ -246,7 +259,7 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
                     out.append((k, "other_language", None, None, None, None))
                 t = o if o.isascii() else clean(o)
                 how = breaks_off(t)
-                if one_word and how != "yes":
+                if one_word and how != "yes" and len(t.split()) < langid.RUN:
                     how = "yes" if cut_from(norm(a), norm(o)) else "no"
                 if how == "yes":
                     out.append((k, "truncated", None, None, None, None))

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,14 @@ def test_empty(out, inp, want):
     assert D.is_empty(out, inp) is want
 
 
+@pytest.mark.parametrize("out,inp,wanted,want", [
+    ("Unknown", "kpɛn", "en", False), ("answer", "shoŋ gul", "en", False), ("Unknown", "kpɛn naŋ tsaŋ drö", "en", True), ("unknown", "the cat", "bld", True), ("[empty]", "kpɛn", "en", True), ("EMPTY", "kpɛn", "en", True),
+    ("missing", "x missing y", "bld", False), ("nothing", "kpɛn", None, False), ("- " * 40 + "no answer" + " -" * 40, "x", "en", True), ("T\u00adO\u200bD\u200bO", "x", "en", True), ("empty the bag", "kpɛn", "en", False),
+])
+def test_placeholders_by_instruction(out, inp, wanted, want):
+    assert D.is_empty(out, inp, wanted) is want
+
+
 REFUSALS = [
     "I'm sorry, but I can't translate this sentence because the input is unclear.", "Regrettably it is not possible for me to complete the task.", "This is something I am not allowed to translate.",
     "My apologies, there is no translation I could offer for this input.", "Hmm, answering this prompt is outside what I may do", "I do not have enough knowledge of Balanda to respond", "As a language assistant, I don’t feel comfortable producing this text.",
@@ -92,6 +102,31 @@ def test_truncated_whatever_the_instruction(spark):
     assert got == {2001: "truncated", 2002: "truncated", 2003: "truncated", 2006: "truncated"}
 
 
+HELD_OUT = [
+    "Sorry, but this request is not something I can help with, so I cannot fulfil it.", "I apologise, but I'm unable to provide an answer to this question.", "I'm not able to assist with that request.", "I cannot comply with this instruction.",
+    "As an AI language model, I can't translate that.", "I won't translate this text.", "Je suis désolée, mais je ne peux pas vous aider avec cette demande.", "Malheureusement, il m'est impossible de traduire ce texte.", "Je dois décliner cette requête.",
+    "Lamento no poder ayudarte con esta petición.", "Lamentablemente no puedo responder a esta pregunta.", "Me niego a traducir este texto.", "Infelizmente não consigo traduzir esta frase.", "Lamento, mas não posso ajudar com esta tarefa.",
+    "Es tut mir leid, aber ich kann diesen Text nicht übersetzen.", "Ich darf diese Frage nicht beantworten.", "Samahani, siwezi kujibu swali hili.", "Kwa bahati mbaya sitaweza kukusaidia.", "К сожалению, я не смогу ответить на этот вопрос.", "Извините, но я отказываюсь переводить этот текст.",
+]
+
+
+def test_held_out_refusals():
+    """Phrases that the lists were not made from."""
+    assert sum(map(D.is_refusal, HELD_OUT)) >= 0.9 * len(HELD_OUT), [x for x in HELD_OUT if not D.is_refusal(x)]
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001/lang_samples.parquet"), reason="no tables")
+def test_samples_are_no_refusals(spark):
+    assert not [r.sample_text for r in spark.read.parquet("/root/testdata/sf0.001/lang_samples.parquet").collect() if D.is_refusal(r.sample_text)]
+
+
+def test_long_identify_answers_are_judged(spark):
+    df, _ = table(spark)
+    more = [(3001, "Identify the Balanda noun", "x y", "the girl will not open the kni"), (3002, "Identify the Balanda noun", "x y", "the old girl will not open the door")]
+    got = {r.rec_id for r in D.defects(df.unionAll(spark.createDataFrame(more, df.schema)), SAMPLES).where("rec_id > 3000 and defect = 'truncated'").collect()}
+    assert got == {3001}
+
+
 def test_word_endings(spark):
     df = spark.createDataFrame([("a cat. a dog! the cat", None), ("the cat.", "ŋgɛ cat"), ("", "  ")], "x string, y string")
     got = {(r.own, r.word): (r.ends, r.inside) for r in D.word_endings(df.repartition(3), ["x", "y"]).collect()}
