@@ -4,15 +4,15 @@ Texts of up to :data:`CHUNK` characters are encoded where they are.  Longer ones
 overlapping chunks that are pre-tokenised and encoded in parallel and stitched where the pre-token
 boundaries of neighbours resynchronise: scanning depends on nothing before a boundary, so from the
 first boundary that two neighbours share in their overlap they agree for good.  Where an overlap has
-none (a run without any boundary), the text is scanned on from the last sure boundary; it is
-recovered by decoding, which concatenates the tokens' raw bytes.
+none (a run without any boundary), the text is scanned on from the last sure boundary, once for as
+many chunks as the run has; it is recovered by decoding, which concatenates the tokens' raw bytes.
 """
 
 from __future__ import annotations
 
 import base64
 import os
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -79,17 +79,26 @@ def codec(name: str = DEFAULT_TOKENIZER, folder: str | None = None) -> Codec:
 Chunk = tuple[int, list[int], list[list[int]]]  # start, ends of pre-tokens, their ids
 
 
+def _sure(ends: list[int]) -> list[int]:
+    """The boundaries that no text behind a chunk can change: scanning looks at most two characters beyond a
+    pre-token (at ``'ll``, ``'re``, ``'ve`` and at the end of white space)."""
+    return ends[: bisect_right(ends, ends[-1] - 2)]
+
+
 def stitch(c: Codec, chunks: list[Chunk]) -> list[list[int]]:
     """The pre-tokens' ids of the whole text from those of its overlapping chunks, in order.
 
-    A chunk's own end is no sure boundary unless the text ends there; every other boundary is, once
-    the chunk starts at one.
+    Once a chunk starts at a boundary, all of its boundaries are sure but those at its end.  Where a chunk shares no boundary with what stands before it, its text is
+    put behind that; it is scanned when a chunk brings boundaries of its own, so that a run through many
+    chunks is scanned and encoded once: the whole is linear in the text.
     """
     start, ends, ids = chunks[0]
     done: list[list[int]] = []
+    waiting: list[str] = []  # text from `start` on that is not scanned yet
+    text = lambda pre: c.decode([i for x in pre for i in x]).decode("utf-8")
     for nxt_start, nxt_ends, nxt_ids in chunks[1:]:
-        theirs = [nxt_start, *nxt_ends[:-1]]  # boundaries that the next chunk is sure of, if it starts at one
-        sure = ends[:-1]
+        theirs = [nxt_start, *_sure(nxt_ends)]  # boundaries that the next chunk is sure of, if it starts at one
+        sure = [] if waiting else _sure(ends)
         known = set(theirs)
         k = next((i for i in range(bisect_left(sure, nxt_start), len(sure)) if sure[i] in known), None)
         if k is not None:
@@ -97,15 +106,18 @@ def stitch(c: Codec, chunks: list[Chunk]) -> list[list[int]]:
             j = theirs.index(sure[k])
             start, ends, ids = sure[k], nxt_ends[j:], nxt_ids[j:]
             continue
-        # No common boundary: scan on from the last sure one over all that follows in both chunks.
-        last = sure[-1] if sure else start
-        keep = len(sure)
-        done += ids[:keep]
-        tail = c.decode([i for x in ids[keep:] for i in x]).decode("utf-8")
-        whole = c.decode([i for x in nxt_ids for i in x]).decode("utf-8")
-        text = tail + whole[last + len(tail) - nxt_start :]
-        start = last
-        ends, ids = c.scan(text, last)
+        upto = ends[-1]
+        if not waiting:
+            start = sure[-1] if sure else start
+            done += ids[: len(sure)]
+            waiting = [text(ids[len(sure) :])]
+        waiting.append(text(nxt_ids)[upto - nxt_start :])
+        ends = [max(upto, nxt_ends[-1])]
+        if len(nxt_ends) > 1:
+            ends, ids = c.scan("".join(waiting), start)
+            waiting = []
+    if waiting:
+        ends, ids = c.scan("".join(waiting), start)
     return done + ids
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -19,11 +20,29 @@ def test_chunks_equal_whole(size, overlap):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab ŋ'.1\n\tsté", max_size=300), st.integers(3, 40), st.integers(1, 15))
+@given(st.text(alphabet="ab ŋ'.1\n\tstélrev", max_size=300), st.integers(3, 40), st.integers(0, 15))
 def test_any_text(text, size, overlap):
     assert E.encode_text(text, size=size, overlap=overlap) == E.codec().encode(text)
 
 
+def test_contractions_at_every_cut():
+    text = "we'll they're I've 'll''re 've " * 20
+    for size in range(3, 40):
+        for overlap in (0, 1, 2, 5):
+            assert E.encode_text(text, size=size, overlap=overlap) == E.codec().encode(text)
+
+
+def test_runs_without_boundaries_are_linear():
+    took = []
+    for n in (1 << 18, 1 << 20):
+        text = "ab" * (n // 2) + " end"
+        began = time.time()
+        got = E.encode_text(text)
+        took.append(time.time() - began)
+        assert got == E.codec().encode(text)
+    assert took[1] < 1.5 and took[1] < 10 * took[0] + 0.2
+
+
 def test_matches_other_library():
     import public_tokenizers as P
     from tokenizers import Tokenizer
