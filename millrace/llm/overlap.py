@@ -4,7 +4,9 @@ An exact prefix-filter join between the (smaller) evaluation side and training.
 they have the same words in the same order, or differ by at most one word in eight of the longer one.
 Whatever d such edits do, a shingle of three words that they leave whole lies, in any common order,
 among the 3 d + 1 first shingles of both texts, at positions no more than d apart.  So it suffices to
-index those of the evaluation texts, rarest first, probe with those of training, and verify.
+index those of the evaluation texts, rarest first, probe with those of training, and verify.  Before texts
+are fetched for that, lengths, positions and a signature of the words, of which an edit changes at most
+two bits, leave out what can't match: templated texts share shingles, but not their words.
 
 Five-word shingles would lose matches here: one edit can touch every one of the four shingles of a
 text of eight words.
@@ -19,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +132,13 @@ class Shingler:
         hs = [known.get(w) or self._word(w) for w in ws]
         return [(x * 31 + y * 1_000_003 + z * 998_244_353) & _POSITIVE for x, y, z in zip(hs, hs[1:], hs[2:])]
 
+    def signature(self, ws: list[str]) -> int:
+        """64 bits, each the parity of the words whose hash falls on it: an edit flips at most two."""
+        known, bits = self.known, 0
+        for w in ws:
+            bits ^= 1 << ((known.get(w) or self._word(w)) & 63)
+        return bits - (1 << 64) if bits >> 63 else bits
+
     def prefix(self, ws: list[str]) -> list[tuple[int, int]]:
         """``(hash, position)`` of those of the first 3 d + 1 shingles that the index has."""
         grams = self.shingles(ws)
@@ -151,21 +161,28 @@ def key_of(ws: list[str]) -> bytes:
     return hashlib.md5(" ".join(ws).encode("utf-8", "surrogatepass")).digest()
 
 
-def _texts(df: DataFrame, key: str, field: str) -> DataFrame:
-    """``id, k, n, text`` of each text with at least one word."""
-    schema = pa.schema([("id", pa.int64()), ("k", pa.binary()), ("n", pa.int32()), ("text", pa.string())])
+_TEXT = pa.schema([("id", pa.int64()), ("k", pa.binary()), ("n", pa.int32()), ("text", pa.string()), ("label", pa.string())])
+_TEXT_DDL = "id bigint, k binary, n int, text string, label string"
+
+
+def _label(column: str | None):
+    return (F.lit(None) if column is None else F.col(column)).cast("string").alias("__label")
+
+
+def _texts(df: DataFrame, key: str, field: str, label: str | None) -> DataFrame:
+    """``id, k, n, text, label`` of each text with at least one word."""
 
     def run(batches):
         for b in batches:
             out = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, t, name in zip(*(b.column(c).to_pylist() for c in range(3))):
                 ws = words(t)
                 if ws:
-                    out.append((i, key_of(ws), len(ws), " ".join(ws)))
-            cols = list(zip(*out)) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
+                    out.append((i, key_of(ws), len(ws), " ".join(ws), name))
+            cols = list(zip(*out)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TEXT.types)], schema=_TEXT)
 
-    return df.select(F.col(key).cast("bigint"), field).mapInArrow(run, "id bigint, k binary, n int, text string")
+    return df.select(F.col(key).cast("bigint"), field, _label(label)).mapInArrow(run, _TEXT_DDL)
 
 
 def _all_shingles(distinct: DataFrame) -> DataFrame:
@@ -180,21 +197,22 @@ def _all_shingles(distinct: DataFrame) -> DataFrame:
 
 
 def _prefixes(distinct: DataFrame, sketch, bits: int) -> DataFrame:
-    """``k, n, h, pos`` of each distinct text's prefix."""
+    """``k, n, sig, h, pos`` of each distinct text's prefix."""
 
     def run(batches):
         s = Shingler(sketch.value, bits)
         for b in batches:
-            ks, ns, hs, ps = [], [], [], []
+            out: list[tuple] = []
             for k, n, t in zip(*(b.column(c).to_pylist() for c in ("k", "n", "text"))):
-                for h, p in s.prefix(t.split(" ")):
-                    ks.append(k)
-                    ns.append(n)
-                    hs.append(h)
-                    ps.append(p)
-            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.binary()), pa.array(ns, pa.int32()), pa.array(hs, pa.int64()), pa.array(ps, pa.int32())], ["k", "n", "h", "pos"])
+                ws = t.split(" ")
+                found = s.prefix(ws)
+                if found:
+                    sig = s.signature(ws)
+                    out += [(k, n, sig, h, p) for h, p in found]
+            cols = list(zip(*out)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))], ["k", "n", "sig", "h", "pos"])
 
-    return distinct.select("k", "n", "text").mapInArrow(run, "k binary, n int, h bigint, pos int")
+    return distinct.select("k", "n", "text").mapInArrow(run, "k binary, n int, sig bigint, h bigint, pos int")
 
 
 def _sketch(values: DataFrame, bits: int) -> bytes:
@@ -222,26 +240,25 @@ def _sketch(values: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
-def _probe(train: DataFrame, key: str, fields: list[str], sketch, keys, bits: int) -> DataFrame:
-    """``id, k, n, text`` of the training texts that may match: they are in ``keys``, or have a prefix in ``sketch``."""
-    schema = pa.schema([("id", pa.int64()), ("k", pa.binary()), ("n", pa.int32()), ("text", pa.string())])
+def _probe(train: DataFrame, key: str, fields: list[str], sketch, keys, bits: int, label: str | None) -> DataFrame:
+    """``id, k, n, text, label`` of the training texts that may match: they are in ``keys``, or have a prefix in ``sketch``."""
 
     def run(batches):
         s, exact, shift = Shingler(sketch.value, bits), keys.value, 64 - bits
         for b in batches:
-            ids = b.column(0).to_pylist()
+            ids, labels = b.column(0).to_pylist(), b.column(1).to_pylist()
             out = []
             for n in range(len(fields)):
-                for i, t in zip(ids, b.column(n + 1).to_pylist()):
+                for i, t, name in zip(ids, b.column(n + 2).to_pylist(), labels):
                     ws = words(t)
                     if ws:
                         k = key_of(ws)
                         if exact[(_key_hash(k) * _SPREAD & _ALL) >> shift] or s.prefix(ws):
-                            out.append((i, k, len(ws), " ".join(ws)))
-            cols = list(zip(*out)) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
+                            out.append((i, k, len(ws), " ".join(ws), name))
+            cols = list(zip(*out)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TEXT.types)], schema=_TEXT)
 
-    return spread(train.select(F.col(key).cast("bigint").alias("id"), *fields)).mapInArrow(run, "id bigint, k binary, n int, text string")
+    return spread(train.select(F.col(key).cast("bigint").alias("id"), _label(label), *fields)).mapInArrow(run, _TEXT_DDL)
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
@@ -256,14 +273,24 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return pairs.select("kt", "ke", "tt", "te").mapInArrow(run, "kt binary, ke binary")
 
 
-def overlaps(train: DataFrame, test: DataFrame, key: str = "rec_id", train_fields: tuple[str, ...] = ("input", "output"), test_field: str = "input") -> DataFrame:
-    """``train_id, test_id`` of each pair whose texts match in any of ``train_fields``, once.
+@dataclass
+class Linked:
+    """Texts that match, by class (equal words): members of both sides and the pairs of classes."""
+
+    train: DataFrame  # id, k, label: the members of classes that may match
+    test: DataFrame  # id, k, label
+    candidates: DataFrame  # kt, ke: pairs of different texts that are verified
+    pairs: DataFrame  # kt, ke
+
+
+def linked(train: DataFrame, test: DataFrame, key: str = "rec_id", train_fields: tuple[str, ...] = ("input", "output"), test_field: str = "input", train_label: str | None = None, test_label: str | None = None) -> Linked:
+    """The classes of texts that match in any of ``train_fields``, and their pairs, each once.
 
     NULL, empty and wordless texts match nothing.  No candidate is dropped; equal texts are compared
-    once.  An empty side gives no rows.
+    once.  An empty side gives no rows.  The labels are columns that the members keep.
     """
     spark = train.sparkSession
-    evals = stage(_texts(test, key, test_field))
+    evals = stage(_texts(test, key, test_field, test_label))
     one = lambda d: d.groupBy("k").agg(F.first("n").alias("n"), F.first("text").alias("text"))
     eval_texts = one(evals)
     words_there = evals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -272,19 +299,46 @@ def overlaps(train: DataFrame, test: DataFrame, key: str = "rec_id", train_field
     keys = spark.sparkContext.broadcast(_sketch(_key_hashes(evals), bits))
     index = _prefixes(eval_texts, sketch, bits)
 
-    rows = stage(_probe(train, key, list(train_fields), sketch, keys, bits))
+    rows = stage(_probe(train, key, list(train_fields), sketch, keys, bits, train_label))
     train_texts = one(rows)
-    probes = _prefixes(train_texts, sketch, bits).select(F.col("k").alias("kt"), F.col("n").alias("nt"), "h", F.col("pos").alias("pt"))
-    found = probes.join(index.select(F.col("k").alias("ke"), F.col("n").alias("ne"), "h", F.col("pos").alias("pe")), "h")
+    probes = _prefixes(train_texts, sketch, bits).select(F.col("k").alias("kt"), F.col("n").alias("nt"), F.col("sig").alias("st"), "h", F.col("pos").alias("pt"))
+    found = probes.join(index.select(F.col("k").alias("ke"), F.col("n").alias("ne"), F.col("sig").alias("se"), "h", F.col("pos").alias("pe")), "h")
     d = F.floor(F.greatest("nt", "ne") / ONE_IN)
-    near = found.where((F.abs(F.col("nt") - F.col("ne")) <= d) & (F.abs(F.col("pt") - F.col("pe")) <= d) & (F.col("kt") != F.col("ke"))).select("kt", "ke").distinct()
+    alike = F.bit_count(F.col("st").bitwiseXOR(F.col("se"))) <= 2 * d
+    near = found.where((F.abs(F.col("nt") - F.col("ne")) <= d) & (F.abs(F.col("pt") - F.col("pe")) <= d) & alike & (F.col("kt") != F.col("ke"))).select("kt", "ke").distinct()
     with_texts = near.join(train_texts.select(F.col("k").alias("kt"), F.col("text").alias("tt")), "kt").join(eval_texts.select(F.col("k").alias("ke"), F.col("text").alias("te")), "ke")
     same = train_texts.select("k").join(eval_texts.select("k"), "k").select(F.col("k").alias("kt"), F.col("k").alias("ke"))
-    pairs = _verified(with_texts).unionAll(same)
-    out = pairs.join(rows.select(F.col("id").alias("train_id"), F.col("k").alias("kt")), "kt").join(evals.select(F.col("id").alias("test_id"), F.col("k").alias("ke")), "ke")
+    return Linked(rows.select("id", "k", "label"), evals.select("id", "k", "label"), near, _verified(with_texts).unionAll(same))
+
+
+def overlaps(train: DataFrame, test: DataFrame, key: str = "rec_id", train_fields: tuple[str, ...] = ("input", "output"), test_field: str = "input") -> DataFrame:
+    """``train_id, test_id`` of each pair of rows whose texts match, once: the class form of :func:`classes` written out."""
+    f = linked(train, test, key, train_fields, test_field)
+    out = f.pairs.join(f.train.select(F.col("id").alias("train_id"), F.col("k").alias("kt")), "kt").join(f.test.select(F.col("id").alias("test_id"), F.col("k").alias("ke")), "ke")
     return out.select("train_id", "test_id").distinct()
 
 
+def class_links(f: Linked) -> DataFrame:
+    """``train_class, test_class``: pairs of classes that match; equal ids are equal texts."""
+    name = lambda k: F.lower(F.hex(k))
+    return f.pairs.select(name("kt").alias("train_class"), name("ke").alias("test_class"))
+
+
+def classes(f: Linked) -> DataFrame:
+    """``side, rec_id, class_id, n_links``: each row with a match, the class of its text and how many classes that is linked to.
+
+    A training row whose input and output both match is in two classes.  Copies are members, not pairs: the
+    result grows with rows and links between different texts only.
+    """
+    pairs = stage(f.pairs)  # narrow, read for both sides
+    parts = []
+    for side, rows, own, other in (("train", f.train, "kt", "ke"), ("test", f.test, "ke", "kt")):
+        links = pairs.groupBy(F.col(own).alias("k")).agg(F.count(other).alias("n_links"))
+        members = rows.select("id", "k").distinct().join(links, "k")
+        parts.append(members.select(F.lit(side).alias("side"), F.col("id").alias("rec_id"), F.lower(F.hex("k")).alias("class_id"), "n_links"))
+    return parts[0].unionAll(parts[1])
+
+
 def _key_hashes(evals: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
@@ -293,7 +347,21 @@ def _key_hashes(evals: DataFrame) -> DataFrame:
     return evals.select("k").mapInArrow(run, "h bigint")
 
 
-def report(pairs: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
-    """``split_name, _source, n_test, n_train, n_pairs``: overlaps per evaluation split and training source."""
-    named = pairs.join(train.select(F.col("rec_id").alias("train_id"), "_source"), "train_id").join(test.select(F.col("rec_id").alias("test_id"), "split_name"), "test_id")
-    return named.groupBy("split_name", "_source").agg(F.countDistinct("test_id").alias("n_test"), F.countDistinct("train_id").alias("n_train"), F.count(F.lit(1)).alias("n_pairs"))
+def report(f: Linked) -> DataFrame:
+    """``split_name, _source, n_test, n_train, n_pairs``: overlaps per evaluation split and training source (the labels).
+
+    Counted from classes: rows with the same classes and label are counted first, no pair of rows is made.
+    """
+    pairs = stage(f.pairs)  # read twice
+    there = pairs.select(F.col("kt").alias("k")).distinct()
+    rows = f.train.join(there, "k", "left_semi").groupBy("id", "label").agg(F.array_sort(F.collect_set("k")).alias("ks"))  # a row has a class a field
+    alike = rows.groupBy(F.col("label").alias("_source"), "ks").agg(F.count(F.lit(1)).alias("m"))
+    links = alike.select("_source", "ks", "m", F.explode("ks").alias("kt")).join(pairs, "kt").select("_source", "ks", "m", "ke").distinct()
+    evals = f.test.groupBy(F.col("label").alias("split_name"), F.col("k").alias("ke")).agg(F.count(F.lit(1)).alias("c"))
+    both = stage(links.join(evals, "ke"))
+    by = ["split_name", "_source"]
+    total = both.groupBy(*by).agg(F.sum(F.col("m") * F.col("c")).alias("n_pairs"))
+    train = both.select(*by, "ks", "m").distinct().groupBy(*by).agg(F.sum("m").alias("n_train"))
+    test = both.select(*by, "ke", "c").distinct().groupBy(*by).agg(F.sum("c").alias("n_test"))
+    same = lambda a, b: a.join(b.select(F.struct(*[F.coalesce(c, F.lit("\u0000")).alias(c) for c in by]).alias("g"), b.columns[-1]), F.struct(*[F.coalesce(a[c], F.lit("\u0000")).alias(c) for c in by]) == F.col("g")).drop("g")
+    return same(same(total, train), test).select(*by, "n_test", "n_train", "n_pairs")

@@ -138,8 +138,23 @@ def p5_found(spark, d):
     return overlap.overlaps(table(spark, d, "train"), table(spark, d, "test"))
 
 
+def _linked(spark, d):
+    return overlap.linked(table(spark, d, "train"), table(spark, d, "test"), train_label="_source", test_label="split_name")
+
+
+@query
+def p5_classes(spark, d):
+    """Every row with an overlap, with the class of its text and the number of classes that is linked to."""
+    return overlap.classes(_linked(spark, d))
+
+
+@query
+def p5_links(spark, d):
+    """The pairs of classes that overlap."""
+    return overlap.class_links(_linked(spark, d))
+
+
 @query
 def p5_report(spark, d):
     """How many of them there are for each split and source."""
-    train, test = table(spark, d, "train"), table(spark, d, "test")
-    return overlap.report(overlap.overlaps(train, test), train, test)
+    return overlap.report(_linked(spark, d))

@@ -91,6 +91,40 @@ def test_long_texts(spark):
 
 
 def test_report(spark, rows):
-    a = spark.createDataFrame([(1, "s", "a b"), (2, "t", "a b")], "rec_id bigint, _source string, input string").withColumn("output", F.lit(None).cast("string"))
-    b = spark.createDataFrame([(7, "val", "A B"), (8, "test", "a, b")], "rec_id bigint, split_name string, input string")
-    assert rows(O.report(O.overlaps(a, b), a, b)) == [("test", "s", 1, 1, 1), ("test", "t", 1, 1, 1), ("val", "s", 1, 1, 1), ("val", "t", 1, 1, 1)]
+    a = spark.createDataFrame([(1, "s", "a b"), (2, "t", "a b"), (3, None, "a b")], "rec_id bigint, _source string, input string").withColumn("output", F.lit("A, b!"))
+    b = spark.createDataFrame([(7, "val", "A B"), (8, "test", "a, b"), (9, None, "a b")], "rec_id bigint, split_name string, input string")
+    got = rows(O.report(O.linked(a, b, train_label="_source", test_label="split_name")))
+    assert got == sorted([(y, x, 1, 1, 1) for y in ("val", "test", None) for x in ("s", "t", None)], key=repr)
+
+
+def test_classes_and_report_against_pairs(spark):
+    train, test = data()
+    a = spark.createDataFrame(train, "rec_id bigint, input string, output string").withColumn("_source", F.concat(F.lit("s"), (F.col("rec_id") % 3).cast("string")))
+    b = spark.createDataFrame(test, "rec_id bigint, input string").withColumn("split_name", F.when(F.col("rec_id") % 2 == 0, "val").otherwise("test"))
+    want = brute(train, test)
+    f = O.linked(a, b, train_label="_source", test_label="split_name")
+    by = {}
+    for i, j in want:
+        t, e, n = by.setdefault(("val" if j % 2 == 0 else "test", f"s{i % 3}"), (set(), set(), []))
+        t.add(i), e.add(j), n.append(1)
+    assert sorted(tuple(r) for r in O.report(f).collect()) == sorted((*k, len(e), len(t), len(n)) for k, (t, e, n) in by.items())
+    members = {}
+    for r in O.classes(f).collect():
+        members.setdefault((r.side, r.class_id), set()).add(r.rec_id)
+    links = [tuple(r) for r in O.class_links(f).collect()]
+    assert len(links) == len(set(links)) and {(i, j) for x, y in links for i in members["train", x] for j in members["test", y]} == want
+    counts = {(r.side, r.rec_id, r.class_id): r.n_links for r in O.classes(f).collect()}
+    assert all(n == sum(1 for link in links if link[side == "test"] == c) for (side, _, c), n in counts.items())
+    empty = O.linked(a.limit(0), b)
+    assert O.classes(empty).count() == 0 and O.class_links(empty).count() == 0 and O.report(empty).count() == 0
+
+
+def test_signatures_lose_no_match():
+    rng, s = random.Random(4), O.Shingler(None, 1)
+    for _ in range(2_000):
+        ws = [f"w{rng.randrange(50)}" for _ in range(rng.randint(7, 30))]
+        other, d = list(ws), rng.randint(0, 3)
+        for _ in range(d):
+            at = rng.randrange(len(other))
+            other[at : at + rng.randint(0, 1)] = [f"v{rng.randrange(50)}"] * rng.randint(0, 1)
+        assert (s.signature(ws) ^ s.signature(other)) & (1 << 64) - 1 in range(1 << 64) and bin((s.signature(ws) ^ s.signature(other)) & (1 << 64) - 1).count("1") <= 2 * d
