@@ -7,13 +7,12 @@ shuffle, so a group with a third of all rows leaves each task as one row.
 
 from __future__ import annotations
 
-import json
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.deepjson import dumps, loads
 from ..sources.staging import stage
 
 _FIELDS = K.RECORD_KEYS
@@ -38,7 +37,7 @@ def parsed(raw: DataFrame, key: str = "rec_id", line: str = "raw_line") -> DataF
     schema = pa.schema([(key, pa.int64()), *((f, pa.string()) for f in _FIELDS)])
 
     def text(v):
-        s = v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+        s = v if v is None or isinstance(v, str) else dumps(v)
         return s if s is None or s.isascii() else s.encode("utf-8", "replace").decode("utf-8")
 
     def run(batches):
@@ -46,8 +45,8 @@ def parsed(raw: DataFrame, key: str = "rec_id", line: str = "raw_line") -> DataF
             out = []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
-                    o = json.loads(t or "")
-                except (ValueError, RecursionError):
+                    o = loads(t or "")
+                except ValueError:
                     continue
                 if isinstance(o, dict):
                     out.append((k, *(text(o.get(f)) for f in _FIELDS)))

@@ -64,3 +64,10 @@ def test_parsed_lines(spark, rows):
 def test_against_brute_force(spark, texts):
     data = [(i, *t) for i, t in enumerate(texts)]
     assert sorted((tuple(r) for r in formatting.copies(spark.createDataFrame(data, REC)).collect()), key=repr) == brute(data)
+
+
+def test_deep_values(spark):
+    deep = "[" * 6_000 + "1" + "]" * 6_000
+    df = spark.createDataFrame([(1, '{"instruction": "i", "input": ' + deep + ', "output": "o"}'), (2, '{"output": "O!", "input": ' + deep + ', "instruction": "I"}')], "rec_id bigint, raw_line string")
+    got = formatting.parsed(df)
+    assert {r.rec_id: r.input for r in got.collect()} == {1: deep, 2: deep} and [tuple(r) for r in formatting.copies(got).collect()] == [(1, 2)]
