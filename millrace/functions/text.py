@@ -49,7 +49,7 @@ def file_stem(path: Column | str) -> Column:
 
 def grammar_name(path: Column | str) -> Column:
     """A grammar name made of a file name: no version, spaces and hyphens as underscores, lower case."""
-    unversioned = F.regexp_replace(file_stem(path), r"_v[0-9]+$", "")
+    unversioned = F.regexp_replace(file_stem(path), r"_v\p{Nd}+$", "")
     return F.lower(F.regexp_replace(unversioned, rf"(?:{K.WS}|-)+", "_"))
 
 
@@ -70,7 +70,7 @@ def instruction_type(x: Column | str) -> Column:
     )
 
 
-_IDENTIFY = "(?i)" + K.IDENTIFY_PATTERN.replace(r"\s", K.WS).replace("(.+)", r"([^\n]+)").replace("$", r"\n?$")
+_IDENTIFY = "(?i)" + K.IDENTIFY_PATTERN.replace(r"\s", K.WS).replace("(.+)", r"([^\n]+)").replace("$", r"\n?\z")
 
 
 def identified_category(x: Column | str) -> Column:

@@ -44,7 +44,7 @@ _CATEGORY = lambda x: f"CASE WHEN {x} IS NULL THEN NULL " + " ".join(f"WHEN cont
 _IDENT = X._IDENTIFY.replace("'", "''")
 _CAT_OF = lambda x: f"CASE WHEN regexp_matches({x}, '{_IDENT}') THEN {_STRIP(f'''regexp_extract({x}, '{_IDENT}', 1)''')} END"
 _STEM = lambda x: f"regexp_replace(regexp_extract({x}, '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1')"
-_GNAME = lambda x: f"lower(regexp_replace(regexp_replace({_STEM(x)}, '_v[0-9]+$', ''), '(?:{_WS}|-)+', '_', 'g'))"
+_GNAME = lambda x: f"lower(regexp_replace(regexp_replace({_STEM(x)}, '_v\\p{{Nd}}+$', ''), '(?:{_WS}|-)+', '_', 'g'))"
 _ORDER = "_source ASC NULLS LAST, line_no ASC NULLS LAST, rec_id ASC"
 _FIRST = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY instruction, input, output ORDER BY {_ORDER}) AS r1 FROM train) WHERE r1 = 1"
 _NT = "CASE WHEN n < 2 THEN 0 WHEN n < 10 THEN 1 ELSE CAST(ceil(n / 20.0) AS BIGINT) END"

@@ -41,7 +41,7 @@ def canonical(instruction: object) -> object:
 
 def name_of(path: str) -> str:
     """As :func:`functions.text.grammar_name`, for one value."""
-    stem = re.sub(r"(?<=.)\.[^.]*$", "", path.rsplit("/", 1)[-1])
+    stem = re.sub(r"(?s)(?<=.)\.[^.]*\Z", "", path.rsplit("/", 1)[-1])
     return re.sub(r"[\s\-]+", "_", re.sub(r"_v\d+$", "", stem)).lower()
 
 
