@@ -61,22 +61,28 @@ REFUSALS = {
     "sw": (r"siwezi|sitaweza|samahani|naomba radhi|kwa bahati mbaya|haiwezekani|sina uwezo|siruhusiwi|ninakataa|kama modeli", r"kutafsiri|tafsiri|ombi (?:hili|lako)|swali (?:hili|lako)|kazi hii|sentensi hii|kujibu|kukusaidia"),
     "ru": (r"не (?:могу|смогу|буду)|извините|простите|сожалею|к сожалению|не в состоянии|вынужден\w* отказ|отказываюсь|не имею права|невозможно|как языковая модель", r"перевест|перевод|этот запрос|этот текст|эту (?:просьбу|задачу)|это (?:задание|предложение)|ваш(?:у|ем|его)? (?:запрос|просьбу)|помочь|ответить"),
 }
-_REFUSALS = [(re.compile(a), re.compile(b)) for a, b in REFUSALS.values()]
-_FIRST = re.compile("|".join(f"(?:{a})" for a, _ in REFUSALS.values()))
+_REFUSALS = {lang: (re.compile(a), re.compile(b)) for lang, (a, b) in REFUSALS.items()}
 
 _WORD = re.compile(r"[^\W_]+")
 _BARE = re.compile(r"[^\w\s]|_")
 _END = ".!?。！？"
 _CLOSERS = "\"”’»›)]}'*"
 _OPEN = {"“": "”", "«": "»", "(": ")", "[": "]", "{": "}", "„": "”"}
+_OPENERS = frozenset(_OPEN) | {'"'}
 _OWN_LETTERS = re.compile("[ŋɛöüéŊƐÖÜÉ]")
 # English words that join clauses.
 _JOINERS = {"and", "but", "so", "because", "while", "although", "unless", "until", "before", "after", "when", "if", "or", "since", "though"}
+_JOINER = re.compile(r"\b(?:" + "|".join(sorted(_JOINERS)) + r")\b")
 
 
 def norm(text: str | None) -> list[str]:
     """The words of a text apart from formatting: consistent characters, lower case, no punctuation."""
-    return _BARE.sub("", clean(text).lower()).split() if text else []
+    return bare_words(clean(text)) if text else []
+
+
+def bare_words(plain: str) -> list[str]:
+    """Likewise of a text in its consistent form."""
+    return _BARE.sub("", plain.lower()).split()
 
 
 def expected_language(instruction: str | None) -> str | None:
@@ -95,15 +101,15 @@ def expected_language(instruction: str | None) -> str | None:
     return None
 
 
-def is_empty(output: str | None, inp: str | None, wanted: str | None = None) -> bool:
+def is_empty(output: str | None, inp: str | None, wanted: str | None = None, plain: str | None = None) -> bool:
     """Null, blank, without any letter or digit, or a mere placeholder that is no word of the input.
 
     A word that can be an answer is a placeholder in brackets, or where no such answer is asked for: a word in English,
-    if the answer is to be in Balanda or the input has more than two words.
+    if the answer is to be in Balanda or the input has more than two words.  ``plain``: the output's consistent form, if known.
     """
     if not output:
         return True
-    plain = clean(output)
+    plain = clean(output) if plain is None else plain
     words = [m.group() for m in itertools.islice(_WORD.finditer(plain.lower()), _MOST_WORDS + 1)]
     bare = " ".join(words)
     if bare in PLACEHOLDERS:
@@ -114,10 +120,10 @@ def is_empty(output: str | None, inp: str | None, wanted: str | None = None) ->
     return not words
 
 
-def is_refusal(output: str) -> bool:
-    """It speaks of what it will not do and of the task itself."""
-    low = clean(output).lower().replace("’", "'")
-    return bool(_FIRST.search(low)) and any(a.search(low) and b.search(low) for a, b in _REFUSALS)
+def is_refusal(plain: str, langs: set[str] | None = None) -> bool:
+    """It speaks, in one of the languages (None: any), of what it will not do and of the task itself."""
+    low = plain.lower().replace("’", "'")
+    return any(a.search(low) and b.search(low) for lang, (a, b) in _REFUSALS.items() if langs is None or lang in langs)
 
 
 def is_copy(instruction: list[str], inp: list[str], output: list[str], asks_for_word: bool) -> bool:
@@ -147,7 +153,7 @@ def ending(text: str) -> tuple[str, bool, bool]:
     core = t.rstrip(_CLOSERS + " ")
     marked = core[-1:] in _END and not core.endswith("...")
     last = t.split()[-1] if t else ""
-    unclosed = any(t.count(a) > t.count(b) for a, b in _OPEN.items()) or t.count('"') % 2 == 1
+    unclosed = not _OPENERS.isdisjoint(t) and (any(t.count(a) > t.count(b) for a, b in _OPEN.items()) or t.count('"') % 2 == 1)
     return langid.letters_of(last), marked, unclosed
 
 
@@ -163,6 +169,8 @@ def breaks_off(text: str) -> str | None:
         return "yes"
     if text.rstrip(" .…'\"”’»)*!?")[-1:] == "]" or text.rstrip()[-1:] == ")" or not word:
         return "no"
+    if not _JOINER.search(text.lower()):
+        return word
     tail = [langid.letters_of(w) for w in words]
     at = max((i for i, w in enumerate(tail) if w in _JOINERS), default=-1)
     if at > 0 and 0 < len(tail) - at - 1 <= 3 and tail[at + 1] == "the":
@@ -235,32 +243,34 @@ def _judge(df: DataFrame, key: str, samples: dict[str, list[str]]) -> DataFrame:
         for b in batches:
             keys, instructions, inputs, outputs = (b.column(i).to_pylist() for i in range(4))
             out: list[tuple] = []
-            spoken = ident.segments(outputs)
+            plain = [clean(o) if o else o for o in outputs]
+            spoken = ident.segments(plain)
             asked: dict[str | None, tuple] = {}
             heard = Counter()
             for segs in spoken:
                 for a, z, lang, _ in segs:
                     heard[lang] += z - a
-            for k, i, a, o, segs in zip(keys, instructions, inputs, outputs, spoken):
+            for k, i, a, o, t, segs in zip(keys, instructions, inputs, outputs, plain, spoken):
                 if i not in asked:
                     if len(asked) > 10_000:
                         asked.clear()
                     w = norm(i)
                     asked[i] = w, expected_language(i), bool(w) and w[0] == "identify"
                 words, wanted, one_word = asked[i]
-                if is_empty(o, a, wanted):
+                if is_empty(o, a, wanted, t):
                     out.append((k, "empty", None, None, None, None))
                     continue
-                if is_refusal(o):
+                langs = {s[2] for s in segs}
+                if is_refusal(t, langs if langs and langid.UNDETERMINED not in langs else None):
                     out.append((k, "refusal", None, None, None, None))
-                if is_copy(words, norm(a), norm(o), one_word):
+                bare_input, bare_output = norm(a), bare_words(t)
+                if is_copy(words, bare_input, bare_output, one_word):
                     out.append((k, "copy", None, None, None, None))
-                if wanted and (all(s[2] not in (wanted, langid.UNDETERMINED) for s in segs) if segs else ident.against(o, wanted) >= FOREIGN):
+                if wanted and (all(s[2] not in (wanted, langid.UNDETERMINED) for s in segs) if segs else ident.against(t, wanted) >= FOREIGN):
                     out.append((k, "other_language", None, None, None, None))
-                t = o if o.isascii() else clean(o)
                 how = breaks_off(t)
                 if one_word and how != "yes" and len(t.split()) < langid.RUN:
-                    how = "yes" if cut_from(norm(a), norm(o)) else "no"
+                    how = "yes" if cut_from(bare_input, bare_output) else "no"
                 if how == "yes":
                     out.append((k, "truncated", None, None, None, None))
                 elif how != "no":

@@ -35,12 +35,12 @@ ANSWERS = [
 
 @pytest.mark.parametrize("text", REFUSALS)
 def test_refusals(text):
-    assert D.is_refusal(text)
+    assert D.is_refusal(D.clean(text))
 
 
 @pytest.mark.parametrize("text", ANSWERS)
 def test_no_refusals(text):
-    assert not D.is_refusal(text)
+    assert not D.is_refusal(D.clean(text))
 
 
 @pytest.mark.parametrize("i,a,o,want", [
