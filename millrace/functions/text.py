@@ -74,8 +74,13 @@ _IDENTIFY = "(?i)" + K.IDENTIFY_PATTERN.replace(r"\s", K.WS).replace("(.+)", r"(
 
 
 def identified_category(x: Column | str) -> Column:
-    """What an instruction of the identify kind asks for, stripped; NULL for other instructions."""
-    return F.when(_c(x).rlike(_IDENTIFY), strip(F.regexp_extract(_c(x), _IDENTIFY, 1)))
+    """What an instruction of the identify kind asks for, stripped; NULL for other instructions.
+
+    The pattern is only tried on what begins with the word, which most instructions don't.
+    """
+    c = _c(x)
+    begins = F.lower(F.substring(c, 1, 8)) == "identify"
+    return F.when(begins, F.when(c.rlike(_IDENTIFY), strip(F.regexp_extract(c, _IDENTIFY, 1))))
 
 
 def canonical_instruction(x: Column | str) -> Column:

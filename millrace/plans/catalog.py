@@ -43,6 +43,7 @@ _ITYPE = f"CASE WHEN instruction = '{K.B2E}' THEN 'translate_b2e' WHEN instructi
 _CATEGORY = lambda x: f"CASE WHEN {x} IS NULL THEN NULL " + " ".join(f"WHEN contains(lower({x}), '{k}') THEN '{c}'" for k, c in K.CATEGORY_KEYWORDS) + f" ELSE '{K.DEFAULT_CATEGORY}' END"
 _IDENT = X._IDENTIFY.replace("'", "''")
 _CAT_OF = lambda x: f"CASE WHEN regexp_matches({x}, '{_IDENT}') THEN {_STRIP(f'''regexp_extract({x}, '{_IDENT}', 1)''')} END"
+_CANONICAL = lambda i, c: f"CASE WHEN {c} IS NULL OR {i} IN ('{K.B2E}', '{K.E2B}') THEN {i} WHEN starts_with(lower({c}), 'balanda') THEN 'Identify the ' || {c} ELSE 'Identify the Balanda ' || {c} END"
 _STEM = lambda x: f"regexp_replace(regexp_extract({x}, '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1')"
 _GNAME = lambda x: f"lower(regexp_replace(regexp_replace({_STEM(x)}, '_v\\p{{Nd}}+$', ''), '(?:{_WS}|-)+', '_', 'g'))"
 _ORDER = "_source ASC NULLS LAST, line_no ASC NULLS LAST, rec_id ASC"
@@ -85,9 +86,7 @@ def _(spark, d):
 
 @query(
     "canonical_instruction",
-    f"""SELECT rec_id, CASE WHEN c IS NULL OR instruction IN ('{K.B2E}', '{K.E2B}') THEN instruction
-    WHEN starts_with(lower(c), 'balanda') THEN 'Identify the ' || c ELSE 'Identify the Balanda ' || c END AS instruction
-    FROM (SELECT rec_id, instruction, {_CAT_OF("instruction")} AS c FROM train)""",
+    f"SELECT rec_id, {_CANONICAL('instruction', 'c')} AS instruction FROM (SELECT rec_id, instruction, {_CAT_OF('instruction')} AS c FROM train)",
 )
 def _(spark, d):
     return table(spark, d, "train").select("rec_id", X.canonical_instruction("instruction").alias("instruction"))
@@ -154,32 +153,24 @@ def _(spark, d):
     return _first_headers(spark, d).select("file_path", "rev_no", F.get_json_object("header_json", "$.grammar_name").alias("grammar_name"))
 
 
-def _shapes(train: DataFrame) -> DataFrame:
-    """Each record in one of the five shapes, by its id, as JSON text."""
-    js = lambda **kv: F.to_json(F.struct(*[c.alias(k) for k, c in kv.items()]), {"ignoreNullFields": "false"})
-    i, a, b, m = F.col("instruction"), F.col("input"), F.col("output"), F.pmod("rec_id", F.lit(5))
-    obj = (
-        F.when(m == 0, js(instruction=i, input=a, output=b, note=F.lit("x"))).when(m == 1, js(instruction=i, output=b)).when(m == 2, js(balanda=a, english=b))
-        .when(m == 3, js(type=F.lit("translation_pair"), source=a, target=b)).otherwise(js(instruction=i))
-    )
-    return train.select("rec_id", obj.alias("obj"))
+_RAW_OBJECTS = "SELECT rec_id, raw_line AS o, json_keys(raw_line) AS ks FROM (SELECT * FROM train_raw WHERE json_valid(raw_line)) WHERE json_type(raw_line) = 'OBJECT'"
+_IN = lambda *ks: " AND ".join(f"list_contains(ks, '{k}')" for k in ks)
 
 
 @query(
     "normalize_records",
-    f"""SELECT rec_id, CASE WHEN rec_id % 5 IN (2, 3) THEN '{K.B2E}' WHEN c IS NULL OR instruction IN ('{K.B2E}', '{K.E2B}') THEN instruction
-    WHEN starts_with(lower(c), 'balanda') THEN 'Identify the ' || c ELSE 'Identify the Balanda ' || c END AS instruction,
-    CASE WHEN rec_id % 5 = 1 THEN '' ELSE input END AS input, output
-    FROM (SELECT *, {_CAT_OF("instruction")} AS c FROM train WHERE rec_id % 5 <> 4)""",
+    f"""SELECT rec_id, {_CANONICAL("instruction", "c")} AS instruction, input, output FROM (SELECT *, {_CAT_OF("instruction")} AS c FROM train)
+    UNION ALL SELECT rec_id, CASE WHEN s = 1 THEN {_CANONICAL("i", "c")} ELSE '{K.B2E}' END,
+      CASE s WHEN 1 THEN CASE WHEN {_IN("input")} THEN o ->> '$.input' ELSE '' END WHEN 2 THEN o ->> '$.balanda' ELSE o ->> '$.source' END,
+      CASE s WHEN 1 THEN o ->> '$.output' WHEN 2 THEN o ->> '$.english' ELSE o ->> '$.target' END
+    FROM (SELECT *, o ->> '$.instruction' AS i, {_CAT_OF("o ->> '$.instruction'")} AS c, CASE WHEN {_IN("instruction", "output")} THEN 1 WHEN {_IN("balanda", "english")} THEN 2
+      WHEN o ->> '$.type' = 'translation_pair' AND {_IN("source", "target")} THEN 3 END AS s FROM ({_RAW_OBJECTS})) WHERE s IS NOT NULL""",
 )
 def _(spark, d):
-    return normalize.normalize_records(_shapes(table(spark, d, "train")), ["rec_id"])
-
-
-@query("normalize_raw")
-def _(spark, d):
-    """The lines of train_raw as they were written, whole."""
-    return normalize.normalize_records(table(spark, d, "train_raw"), ["rec_id"], "raw_line")
+    """The records of ``train`` as they are written, and the lines of ``train_raw``, whole."""
+    train = table(spark, d, "train")
+    written = train.select("rec_id", F.to_json(F.struct(*K.RECORD_KEYS), {"ignoreNullFields": "false"}).alias("obj"))
+    return normalize.normalize_records(written.unionAll(table(spark, d, "train_raw").select("rec_id", "raw_line")), ["rec_id"])
 
 
 _LIST = lambda x: f"array_to_string(list_transform(list_filter(from_json({x}, '[\"JSON\"]'), lambda y: json_type(y) NOT IN ('OBJECT', 'ARRAY')), lambda y: y ->> '$'), '; ')"

@@ -15,10 +15,10 @@ from ..sources import decoder, files
 from ..sources.staging import place, stage
 from ..sources.tables import table
 from . import prepare, tree
-from .catalog import _AUG_ROWS, _CAT_OF, _FH, _GNAME, _ITYPE, _NT, _NV, _RULES_OF, _first_headers, query
+from .catalog import _AUG_ROWS, _CANONICAL, _CAT_OF, _FH, _GNAME, _ITYPE, _NT, _NV, _RULES_OF, _first_headers, query
 
-#: Record ids a file covers, as a shift: at most 4,096 records a file.
-FILE_SHIFT = 12
+#: Record ids a file covers, as a shift: at most 65,536 records a file.
+FILE_SHIFT = 16
 _STEM = "regexp_replace({0}, '[.]jsonl$', '')"
 
 
@@ -124,7 +124,7 @@ _C = _CAT_OF("o ->> '$.instruction'")
 
 @query(
     "normalized_tree_records",
-    f"""SELECT path, CASE WHEN c IS NULL OR i IN ('{K.B2E}', '{K.E2B}') THEN i WHEN starts_with(lower(c), 'balanda') THEN 'Identify the ' || c ELSE 'Identify the Balanda ' || c END AS instruction,
+    f"""SELECT path, {_CANONICAL("i", "c")} AS instruction,
     CASE WHEN list_contains(ks, 'input') THEN o ->> '$.input' ELSE '' END AS input, o ->> '$.output' AS output
     FROM (SELECT *, o ->> '$.instruction' AS i, {_C} AS c FROM ({_LOOSE_RECORDS})) WHERE list_contains(ks, 'instruction') AND list_contains(ks, 'output')""",
 )
