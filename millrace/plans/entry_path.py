@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators import classify, normalize, validate
+from ..operators import classify, normalize, report, validate
 from ..sources import decoder, files
 from ..sources.staging import place, stage
 from ..sources.tables import table
@@ -23,11 +23,11 @@ _STEM = "regexp_replace({0}, '[.]jsonl$', '')"
 
 
 def _file_of(source: str, key: str):
-    return F.concat(F.expr(_STEM.format(source)), F.lit("/"), F.shiftright(key, FILE_SHIFT).cast("string"), F.lit("_v1.jsonl"))
+    return F.concat(F.expr(_STEM.format(source)), F.lit("."), F.shiftright(key, FILE_SHIFT).cast("string"), F.lit("_v1.jsonl"))
 
 
-_FILE_SQL = f"{_STEM.format('_source')} || '/' || (rec_id >> {FILE_SHIFT}) || '_v1.jsonl'"
-_HEADER_SQL = f"{_STEM.format('{0}')} || '/header_v1.jsonl'"
+_FILE_SQL = f"{_STEM.format('_source')} || '.' || (rec_id >> {FILE_SHIFT}) || '_v1.jsonl'"
+_HEADER_SQL = f"{_STEM.format('{0}')} || '.header_v1.jsonl'"
 
 
 def write_tree(spark: SparkSession, lines: DataFrame) -> str:
@@ -45,7 +45,7 @@ def corpus_tree(spark: SparkSession, d: str) -> str:
     """The records of ``train`` and the first header of each file."""
     train = table(spark, d, "train").select(_file_of("_source", "rec_id").alias("path"), F.coalesce("line_no", F.lit(2**31 - 1)).alias("at"), F.col("rec_id").alias("id"), *K.RECORD_KEYS)
     records = train.select("path", "at", "id", F.to_json(F.struct(*K.RECORD_KEYS), {"ignoreNullFields": "false"}).alias("line"))
-    headers = _first_headers(spark, d).select(F.expr(f"concat({_STEM.format('file_path')}, '/header_v1.jsonl')").alias("path"), F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("id"), F.col("header_json").alias("line"))
+    headers = _first_headers(spark, d).select(F.expr(f"concat({_STEM.format('file_path')}, '.header_v1.jsonl')").alias("path"), F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("id"), F.col("header_json").alias("line"))
     return write_tree(spark, records.unionAll(headers))
 
 
@@ -80,7 +80,8 @@ def _(spark, d):
 )
 def _(spark, d):
     """Records of each file of the tree, those without records included."""
-    return _prepared(spark, d)[1].source_counts
+    paths, primary, *_ = prepare.load(spark, corpus_tree(spark, d))
+    return report.source_counts(paths.withColumnRenamed("path", "file_path"), primary)
 
 
 @query("prepare_checked", f"SELECT split, count(*) AS n_good, CAST(0 AS BIGINT) AS n_bad FROM ({_PREPARED}) GROUP BY 1")
