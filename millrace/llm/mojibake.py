@@ -4,9 +4,10 @@ Restoration is a best-first search over encode, decode and unescape operations.
 text; an operation re-encodes the characters that one encoding would have produced and decodes the
 bytes as another, or resolves escapes.  States are ordered by the implausibility of their characters
 plus the price of the operations so far, visited ones are kept in a hash set, and the cheapest reachable
-text wins.  The search ends by itself: a state is left alone once another operation would cost as much
-as the best text found, operations that decode several bytes shorten the text, and two changes of
-single bytes never follow each other.  Neither states nor depth nor length are capped.
+text wins.  The search ends by itself: a state is left alone once another operation would cost more
+than the best text found, or once it is much less plausible than that; operations that decode several
+bytes shorten the text and must make it more plausible, and two changes of single bytes never follow each
+other.  Neither the number of states nor depth nor length are capped.
 
 Operations are one to one where they apply (decoding is strict), so a path can be played back to the
 text as it was.
@@ -34,6 +35,8 @@ SWAPS = [("cp1252", "cp1251"), ("cp1251", "koi8_r"), ("koi8_r", "cp1251"), ("cp1
 LATIN_SWAPS = [("cp437", "cp1252"), ("cp850", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("cp1252", "mac_roman")]
 #: Price of an operation, and of a confusion of Latin letters, which leaves less evidence.
 OPERATION, LATIN_OPERATION = 1.0, 2.5
+#: States are followed up to this multiple of the best text's total (and two operations): text may have to become less plausible first.
+WIDTH = 1.25
 #: Text up to this cost (that of a sign that stands alone) is ordinary.
 ORDINARY = 1.0
 
@@ -247,7 +250,10 @@ def search(text: str, operations: dict = OPERATIONS) -> tuple[str, tuple[str, ..
     best, alone = (start, text, ()), True
     heap, seen = [(start, 0, text, (), 0.0)], {text}
     while heap:
-        _, _, state, path, spent = heapq.heappop(heap)
+        total, _, state, path, spent = heapq.heappop(heap)
+        if total > WIDTH * best[0] + 2 * OPERATION:
+            break  # so are all that are left
+        plain = total - spent
         for name, op in operations.items():
             price = spent + op.price
             if price > best[0] or name in SWAPPERS and path and path[-1] in SWAPPERS:
@@ -257,6 +263,8 @@ def search(text: str, operations: dict = OPERATIONS) -> tuple[str, tuple[str, ..
                 continue
             seen.add(new)
             total = cost(new) + price
+            if name not in SWAPPERS and total - price >= plain:
+                continue  # sequences that make no better text are accidents
             if total < best[0]:
                 best, alone = (total, new, (*path, name)), True
             elif total == best[0]:
