@@ -16,6 +16,8 @@ from ..functions.deepjson import dumps, loads
 from ..sources.staging import stage
 
 _FIELDS = K.RECORD_KEYS
+#: Digests that are broadcast at most: 24 bytes each, so 24 MB.
+BROADCAST = 1_000_000
 
 
 def canonical(x: Column) -> Column:
@@ -84,13 +86,18 @@ def groups(records: DataFrame, key: str = "rec_id") -> DataFrame:
 def copies(records: DataFrame, key: str = "rec_id") -> DataFrame:
     """``keep_id, dup_id`` for each row beyond the smallest id of its group.
 
-    The groups found by canonical text are carried back to the rows over 128-bit digests: canonical
-    digest to raw digest, raw digest to row.  Only groups of two or more rows take part; both joins
-    are on keys that adaptive execution may split where they are skewed.  An id that occurs in
-    several rows of a group is no copy of itself where it is the smallest.
+    The groups found by canonical text are carried back to the byte-identical ones over 128-bit digests.  One of
+    those that stands for a single row names it by its first id; only rows that have byte-identical
+    copies are looked up by their digest, over a broadcast of the digests wanted where their number is at most
+    :data:`BROADCAST`, else in a join on keys that adaptive execution may split where they are skewed.  An id that
+    occurs in several rows of a group is no copy of itself where it is the smallest.
     """
-    distinct = stage(_distinct(records, key))  # else it would be made for both of its uses
+    distinct = stage(_distinct(records, key))  # else it would be made for each of its uses
     several = distinct.groupBy("canonical").agg(F.min("first_id").alias("keep_id"), F.sum("n").alias("m"), F.first("canon1").alias("canon1"), F.first("canon2").alias("canon2")).where("m > 1").select("canon1", "canon2", "keep_id")
-    members = distinct.select("raw1", "raw2", "canon1", "canon2").join(several, ["canon1", "canon2"]).select("raw1", "raw2", "keep_id")
+    members = distinct.select("raw1", "raw2", "n", "first_id", "canon1", "canon2").join(several, ["canon1", "canon2"]).select("raw1", "raw2", "n", "first_id", "keep_id")
+    members = stage(members)
+    single = members.where("n = 1").select("keep_id", F.col("first_id").alias("dup_id"))
+    repeated = members.where("n > 1").select("raw1", "raw2", "keep_id")
+    wanted = F.broadcast(repeated) if repeated.count() <= BROADCAST else repeated
     rows = records.where(F.col(key).isNotNull()).select(F.col(key).alias("dup_id"), *_digest("raw", *[F.col(f) for f in _FIELDS]))
-    return rows.join(members, ["raw1", "raw2"]).where("dup_id <> keep_id").select("keep_id", "dup_id")
+    return single.unionByName(rows.join(wanted, ["raw1", "raw2"]).select("keep_id", "dup_id")).where("dup_id <> keep_id")

@@ -22,7 +22,8 @@ def query(f):
 
 def _records(spark, d):
     fields = ["rec_id", "instruction", "input", "output"]
-    return table(spark, d, "train").select(*fields).unionByName(formatting.parsed(table(spark, d, "train_raw")))
+    raw = stage(formatting.parsed(table(spark, d, "train_raw")))  # records are read twice: lines are parsed once
+    return table(spark, d, "train").select(*fields).unionByName(raw)
 
 
 @query

@@ -2,6 +2,7 @@ import json
 import re
 import unicodedata
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -29,7 +30,9 @@ ROWS = [
 ]
 
 
-def test_copies(spark, rows):
+@pytest.mark.parametrize("broadcast", [formatting.BROADCAST, 0])
+def test_copies(spark, rows, monkeypatch, broadcast):
+    monkeypatch.setattr(formatting, "BROADCAST", broadcast)
     df = spark.createDataFrame(ROWS, REC)
     assert rows(formatting.copies(df)) == brute(ROWS)
     assert (8, 10) not in rows(formatting.copies(df))  # fields don't run into each other
