@@ -46,7 +46,8 @@ def load(spark: SparkSession, root: str, augment_rules: bool = True) -> tuple[Da
     ).withColumn("_itype", instruction_type("instruction"))
     headers = classify.first_header(objects, [F.col("ordinal")])
     everything = augment.union_augmented(primary, augment.augment_rules(headers, "path", "obj"), augment_rules)
-    return source.select("path"), primary, everything, decoded.where("error IS NOT NULL").select("path", "error")
+    deep = objects.where(kind == "invalid").select("path", F.concat(F.lit("ERROR: object "), F.col("ordinal").cast("string"), F.lit(" is nested deeper than Spark's JSON functions read")).alias("error"))
+    return source.select("path"), primary, everything, decoded.where("error IS NOT NULL").select("path", "error").unionAll(deep)
 
 
 def run(spark: SparkSession, root: str, out_dir: str | None = None, seed: int = 42, augment_rules: bool = True) -> Prepared:

@@ -92,6 +92,9 @@ def test_failures_are_reported(spark, corpus, monkeypatch, rows):
     monkeypatch.setattr(prepare.decoder, "parse_files", lambda _: failed)
     done = prepare.run(spark, str(corpus / "in"))
     assert rows(done.failures) == [("a_v1.jsonl", "ERROR: x")] and done.records.count() == 1
+    monkeypatch.undo()
+    (corpus / "in" / "deep_v1.jsonl").write_text('{"instruction":"i","input":"","output":' + "[" * 3_000 + "]" * 3_000 + "}")
+    assert [r.path for r in prepare.run(spark, str(corpus / "in")).failures.collect()] == ["deep_v1.jsonl"]
 
 
 def test_staging(spark, tmp_path):
