@@ -201,7 +201,7 @@ def _table_step(key: str) -> str:
 
 def positions(chain: Chain, entries: list[Entry]) -> Iterator[tuple[int, int, object, list[int]]]:
     """``(repetition, definition, value, positions)`` of each entry, the positions from the levels alone."""
-    depth = sum(x in ("i", "e") for x in chain)
+    depth = chain.count("i") + chain.count("e")
     at = [0] * depth
     for rep, level, value in entries:
         if rep:
@@ -225,6 +225,34 @@ class _Names:
         return str(at[item]) if chain[n] == "i" else self.of[chain[: n + 1]][tuple(at[: item + 1])]
 
 
+def _resumed(columns: Columns, root: object) -> Iterator[tuple[Chain, int, object, list[int], int, int, object, list[dict]]]:
+    """``(chain, definition, value, positions, step, items, state, stores)`` of each entry of each column of values.
+
+    A walk down a chain need not begin at the root: what was found at the deepest ``i`` or ``e`` step that an
+    earlier walk has passed at the same positions is ``state``, the walk goes on at ``step``, after ``items`` such steps.
+    Where it passes further ones it puts its states into ``stores``, under the positions so far.
+    """
+    seen: dict[Chain, dict[tuple[int, ...], object]] = {}
+    for chain, entries in columns.items():
+        if chain[-1:] == ("key",):
+            continue  # what its entries are shows in the columns of their values
+        repeated, passed = [], [0]
+        for n, step in enumerate(chain):
+            if step == "i" or step == "e":
+                repeated.append(n)
+            passed.append(len(repeated))
+        stores = [seen.setdefault(chain[: n + 1], {}) for n in repeated]
+        for _, level, value, at in positions(chain, entries):
+            items, begin, state = passed[level], 0, root
+            while items:
+                found = stores[items - 1].get(tuple(at[:items]))
+                if found is not None:
+                    state, begin = found, repeated[items - 1] + 1
+                    break
+                items -= 1
+            yield chain, level, value, at, begin, items, state, stores
+
+
 def assemble(columns: Columns) -> tuple[dict[str, tuple[str, str, object]], list[tuple[str, str, object]]]:
     """Nodes and fields from level sequences.
 
@@ -235,29 +263,27 @@ def assemble(columns: Columns) -> tuple[dict[str, tuple[str, str, object]], list
     names = _Names(columns)
     nodes: dict[str, tuple[str, str, object]] = {}
     fields: list[tuple[str, str, object]] = []
-    for chain, entries in columns.items():
-        if chain[-1:] == ("key",):
-            continue  # what its entries are shows in the columns of their values
-        for rep, level, value, at in positions(chain, entries):
-            path = table = parent = ""
-            item, name = 0, ""
-            for n, step in enumerate(chain[:level]):
-                if step == "i" or step == "e":
-                    name = names.path_step(chain, n, at, item)
-                    path, table, item = f"{path}/{_escape(name)}", f"{table}/{'[]' if step == 'i' else '*'}", item + 1
-                elif step == "o" or step == "m":
-                    if n:
-                        if path not in nodes:
-                            nodes[path] = (parent, table, None)
-                        parent = path
-                elif step == "s":
-                    if n and chain[n - 1] == "i":
-                        nodes[path] = (parent, table, value)
-                    elif n:
-                        fields.append((parent, name, value))
-                elif step != "l":
-                    name = step[2:]
-                    path, table = f"{path}/{_escape(name)}", f"{table}/{_table_step(name)}"
+    for chain, level, value, at, begin, item, state, stores in _resumed(columns, ("", "", "", "")):
+        path, table, parent, name = state
+        for n in range(begin, level):
+            step = chain[n]
+            if step == "i" or step == "e":
+                name = names.path_step(chain, n, at, item)
+                path, table, item = f"{path}/{_escape(name)}", f"{table}/{'[]' if step == 'i' else '*'}", item + 1
+                stores[item - 1][tuple(at[:item])] = path, table, parent, name
+            elif step == "o" or step == "m":
+                if n:
+                    if path not in nodes:
+                        nodes[path] = (parent, table, None)
+                    parent = path
+            elif step == "s":
+                if n and chain[n - 1] == "i":
+                    nodes[path] = (parent, table, value)
+                elif n:
+                    fields.append((parent, name, value))
+            elif step != "l":
+                name = step[2:]
+                path, table = f"{path}/{_escape(name)}", f"{table}/{_table_step(name)}"
     return nodes, fields
 
 
@@ -331,35 +357,34 @@ def rows_of(columns: Columns) -> list[Row]:
     the record, ``parent_id`` that of the row of the parent table it belongs to, ``name`` its position or name there.
     """
     names = _Names(columns)
-    rows: dict[tuple[str, str], Row] = {("", ""): Row("", "", None, None)}
-    rows["", ""].kinds[""] = None
-    for chain, entries in columns.items():
-        if chain[-1:] == ("key",):
-            continue
-        for _, level, value, at in positions(chain, entries):
-            row, place, item, path, table = rows["", ""], "", 0, "", ""
-            for n, step in enumerate(chain[:level]):
-                if step == "i" or step == "e":
-                    row.kinds[place] = "filled"
-                    name = names.path_step(chain, n, at, item)
-                    path, table, item = f"{path}/{_escape(name)}", f"{table}/{'[]' if step == 'i' else '*'}", item + 1
-                    new = rows.get((table, path))
-                    if new is None:
-                        new = rows[table, path] = Row(table, path, row.row_id, name)
-                        new.kinds[""] = None
-                    row, place = new, ""
-                elif step == "o" or step == "m" or step == "l":
-                    if row.kinds[place] is None:
-                        row.kinds[place] = "list" if step == "l" else "object"
-                elif step == "s":
-                    row.kinds[place] = "scalar"
-                    row.scalars[place] = value
-                else:
-                    row.kinds[place] = "filled"
-                    key = _escape(step[2:])
-                    place, path, table = f"{place}/{key}", f"{path}/{key}", f"{table}/{_table_step(step[2:])}"
-                    row.kinds.setdefault(place, None)
-    return list(rows.values())
+    top = Row("", "", None, None)
+    top.kinds[""] = None
+    rows = [top]
+    for chain, level, value, at, begin, item, state, stores in _resumed(columns, (top, "", "")):
+        row, path, table = state
+        place = ""
+        for n in range(begin, level):
+            step = chain[n]
+            if step == "i" or step == "e":
+                row.kinds[place] = "filled"
+                name = names.path_step(chain, n, at, item)
+                path, table, item = f"{path}/{_escape(name)}", f"{table}/{'[]' if step == 'i' else '*'}", item + 1
+                row, place = Row(table, path, row.row_id, name), ""
+                row.kinds[""] = None
+                rows.append(row)
+                stores[item - 1][tuple(at[:item])] = row, path, table
+            elif step == "o" or step == "m" or step == "l":
+                if row.kinds[place] is None:
+                    row.kinds[place] = "list" if step == "l" else "object"
+            elif step == "s":
+                row.kinds[place] = "scalar"
+                row.scalars[place] = value
+            else:
+                row.kinds[place] = "filled"
+                key = _escape(step[2:])
+                place, path, table = f"{place}/{key}", f"{path}/{key}", f"{table}/{_table_step(step[2:])}"
+                row.kinds.setdefault(place, None)
+    return rows
 
 
 def _unescape(key: str) -> str:
