@@ -29,7 +29,7 @@ def folder(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get().rstrip("/")
     master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
+    if master != "local" and not master.startswith(("local[", "local-cluster[")):  # all of these are one machine
         raise NoSharedFolder(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
     made = tempfile.mkdtemp(prefix="millrace-")
     spark.sparkContext.setCheckpointDir(made)
